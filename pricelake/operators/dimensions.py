@@ -32,32 +32,32 @@ def dim_asset(
     """
     seen = silver.select("symbol", "asset_type", "source").distinct()
     ohlcv, close_only = PRICE_COMPLETENESS
-    described = (
-        seen.join(types.withColumnRenamed("name", "asset_type"), "asset_type")
-        .join(catalog.select("symbol", "name", "base_ccy", "price_completeness"), "symbol", "left")
-        .select(
-            "symbol",
-            F.coalesce("name", "symbol").alias("name"),
-            "asset_type_id",
-            "asset_type",
-            "source",
-            F.coalesce(
-                "price_completeness",
-                F.when(F.col("source") == CLOSE_ONLY_SOURCE, close_only).otherwise(ohlcv),
-            ).alias("price_completeness"),
-            F.coalesce("base_ccy", F.lit(DEFAULT_BASE_CCY)).alias("base_ccy"),
-        )
+    key = ["symbol", "asset_type", "source"]
+    typed = seen.join(types.withColumnRenamed("name", "asset_type"), "asset_type").select(
+        *key, "asset_type_id"
     )
-    order = [F.col(c) for c in ("symbol", "asset_type", "source")]
-    columns = ["asset_id", *described.columns]
+    order = [F.col(c) for c in key]
     if existing is None:
-        return number_rows(described, order, "asset_id").select(*columns)
-    ids = existing.select("asset_id", "symbol", "asset_type", "source")
-    key = ["symbol", "asset_type", "source"]
-    kept = described.join(ids, key).select(*columns)
-    after = F.coalesce(existing.agg(F.max("asset_id")).scalar(), F.lit(0)) + 1
-    fresh = number_rows(described.join(ids, key, "left_anti"), order, "asset_id", start=after)
-    return kept.unionByName(fresh.select(*columns))
+        numbered = number_rows(typed, order, "asset_id")
+    else:
+        ids = existing.select("asset_id", *key)
+        after = F.coalesce(existing.agg(F.max("asset_id")).scalar(), F.lit(0)) + 1
+        fresh = number_rows(typed.join(ids, key, "left_anti"), order, "asset_id", start=after)
+        numbered = typed.join(ids, key).unionByName(fresh)
+    described = catalog.select("symbol", "name", "base_ccy", "price_completeness")
+    return numbered.join(described, "symbol", "left").select(
+        "asset_id",
+        "symbol",
+        F.coalesce("name", "symbol").alias("name"),
+        "asset_type_id",
+        "asset_type",
+        "source",
+        F.coalesce(
+            "price_completeness",
+            F.when(F.col("source") == CLOSE_ONLY_SOURCE, close_only).otherwise(ohlcv),
+        ).alias("price_completeness"),
+        F.coalesce("base_ccy", F.lit(DEFAULT_BASE_CCY)).alias("base_ccy"),
+    )
 
 
 def dim_date(silver: DataFrame, calendar: DataFrame | None = None) -> DataFrame:

@@ -87,7 +87,8 @@ def dca_buys(
     # at most one row per month of the schedule in each partition of this window
     earlier = F.coalesce(F.lag("slot").over(W.partitionBy("symbol").orderBy("slot")), F.lit(-1))
     return (
-        first_of_slot.withColumn("buy_no", F.explode(F.sequence(earlier + 1, F.col("slot"))))
+        first_of_slot.withColumn("_earlier", earlier)
+        .withColumn("buy_no", F.explode(F.sequence(F.col("_earlier") + 1, F.col("slot"))))
         .withColumn("target", monthly_target(begin, F.col("buy_no"), buy_day))
         .withColumn("units", F.lit(float(monthly_amount_usd)) / F.col("price"))
         .select("symbol", "buy_no", "target", "fill_date", "price", "units")

@@ -19,7 +19,7 @@ from pricelake.functions.returns import (
 from pricelake.schemas import FACT_KEY, ROLLING_DAYS, VOLATILITY_ROWS
 
 # Width in days of the narrow look-back frames, and spacing of bridge rows in gaps.
-_SLACK = 15
+_SLACK = 30
 
 
 def rolling_column(days: int) -> str:

@@ -1,4 +1,4 @@
-"""Row numbers over a whole table without a single-task sort."""
+"""Row numbers over a whole table."""
 
 from __future__ import annotations
 
@@ -8,11 +8,37 @@ from pyspark.sql import functions as F
 
 _BUCKETS = 64
 _SAMPLE_PER_BUCKET = 16
+# Up to this many rows one task sorts them; the size is checked, not assumed.
+SMALL_TABLE_ROWS = 200_000
 
 
-def number_rows(df: DataFrame, order: list[Column], out: str, *, start: Column | int = 1) -> DataFrame:
+def number_rows(
+    df: DataFrame,
+    order: list[Column],
+    out: str,
+    *,
+    start: Column | int = 1,
+    small: int = SMALL_TABLE_ROWS,
+) -> DataFrame:
     """Number the rows 1..n by ``order`` (ascending, must be unique per row).
 
+    Counts up to ``small + 1`` rows first: a table that small is numbered by one window,
+    a larger one in ranges (``number_rows_in_ranges``).
+    """
+    if df.limit(small + 1).count() > small:
+        return number_rows_in_ranges(df, order, out, start=start)
+    first = start if isinstance(start, Column) else F.lit(start)
+    place = F.row_number().over(W.orderBy(*order))
+    return df.withColumn(out, place.cast("long")).withColumn(
+        out, F.col(out) + first.cast("long") - 1
+    )
+
+
+def number_rows_in_ranges(
+    df: DataFrame, order: list[Column], out: str, *, start: Column | int = 1
+) -> DataFrame:
+    """Number the rows 1..n without sorting them in one task.
+
     The rows are split into key ranges at boundaries drawn from a hash sample of bounded
     size (so every evaluation finds the same boundaries), numbered inside each range, and
     shifted by the number of rows in earlier ranges. Everything sent to all tasks is at

@@ -32,7 +32,7 @@ def volatility_summary(metrics: DataFrame, *, lookback_days: int = 365, as_of=No
     )
 
 
-def volatility_rank(vol: DataFrame, *, reference: str) -> DataFrame:
+def volatility_rank(vol: DataFrame, *, reference: str, numbering=number_rows) -> DataFrame:
     """Rank by deviation (largest first, unknown last), yearly percent, multiple of a symbol.
 
     The multiple is null for the reference itself and when it is absent or not positive.
@@ -41,7 +41,7 @@ def volatility_rank(vol: DataFrame, *, reference: str) -> DataFrame:
     order = [sigma.isNull(), -sigma, F.col("symbol"), F.col("asset_type")]
     base = vol.where(F.col("symbol") == reference).agg(F.max("daily_return_stdev")).scalar()
     return (
-        number_rows(vol, order, "rank")
+        numbering(vol, order, "rank")
         .withColumn("_base", base)
         .select(
             "rank",

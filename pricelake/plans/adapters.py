@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricelake.schemas import BRONZE
 
@@ -12,8 +13,15 @@ BENCHMARK = "1-URGENT"
 REFERENCE = "4-NOT SPECIFIED"
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the folder; its schema is taken from the files once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -108,6 +116,17 @@ def brand_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def type_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """symbol = part type; close = highest extended price of the day."""
+    items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_extendedprice")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    return (
+        items.join(parts, items.l_partkey == parts.p_partkey)
+        .groupBy(F.col("p_type").alias("symbol"), F.to_date("l_shipdate").alias("date"))
+        .agg(F.max("l_extendedprice").alias("close"))
+    )
+
+
 def part_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """symbol = part; many sparse series that grow with the data."""
     return (
@@ -397,14 +416,14 @@ def returns_sql(windows: dict[str, int]) -> str:
     parts = [
         f"""SELECT '{w}' AS "window", symbol, d - {n} AS start_date, d AS end_date,
       arg_max(rolling_return_{n}d, date) FILTER (WHERE date <= d) AS "return"
-    FROM metrics, asof GROUP BY symbol, d"""
+    FROM metrics, as_of_day GROUP BY symbol, d"""
         for w, n in windows.items()
     ]
     parts.append(
         """SELECT 'ytd', symbol, CAST(date_trunc('year', d) AS DATE), d,
       arg_max(close, date) FILTER (WHERE date BETWEEN date_trunc('year', d) AND d)
       / arg_min(close, date) FILTER (WHERE date BETWEEN date_trunc('year', d) AND d) - 1.0
-    FROM prices, asof GROUP BY symbol, d"""
+    FROM prices, as_of_day GROUP BY symbol, d"""
     )
     union = "\n    UNION ALL ".join(parts)
     return f"""SELECT r.*, b."return" AS btc_return,
@@ -415,13 +434,20 @@ def returns_sql(windows: dict[str, int]) -> str:
 
 _CTES: dict[str, tuple[list[str], str]] = {
     "prices": ([], order_prices_sql()),
-    "asof": (["prices"], "SELECT max(date) AS d FROM prices"),
+    "as_of_day": (["prices"], "SELECT max(date) AS d FROM prices"),
     "brands": (
         [],
         """SELECT p_brand AS symbol, 'stock' AS asset_type, CAST(l_shipdate AS DATE) AS date,
     max(l_extendedprice) AS close
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3""",
     ),
+    "by_type": (
+        [],
+        """SELECT p_type AS symbol, 'stock' AS asset_type, CAST(l_shipdate AS DATE) AS date,
+    max(l_extendedprice) AS close
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3""",
+    ),
+    "type_metrics": (["by_type"], metrics_sql("by_type")),
     "parts": (
         [],
         """SELECT 'P' || CAST(l_partkey AS VARCHAR) AS symbol, 'stock' AS asset_type,
@@ -432,7 +458,7 @@ _CTES: dict[str, tuple[list[str], str]] = {
     "brand_metrics": (["brands"], metrics_sql("brands")),
     "part_metrics": (["parts"], metrics_sql("parts")),
     "rbw": (
-        ["metrics", "asof"],
+        ["metrics", "as_of_day"],
         returns_sql({"7d": 7, "1m": 30, "3m": 90, "6m": 180, "1y": 365}),
     ),
     "winners": (
@@ -443,7 +469,7 @@ _CTES: dict[str, tuple[list[str], str]] = {
   QUALIFY row_number() OVER (PARTITION BY "window" ORDER BY "return" DESC, symbol) = 1""",
     ),
     "lump": (
-        ["prices", "asof"],
+        ["prices", "as_of_day"],
         """SELECT symbol, principal_usd, units, start_date, end_date, start_price, end_price,
     units * end_price AS current_value_usd, units * end_price - principal_usd AS pnl_usd,
     (units * end_price - principal_usd) / principal_usd AS total_return
@@ -452,15 +478,15 @@ _CTES: dict[str, tuple[list[str], str]] = {
           max(date) FILTER (WHERE date <= d) AS end_date,
           arg_min(close, date) FILTER (WHERE date >= s) AS start_price,
           arg_max(close, date) FILTER (WHERE date <= d) AS end_price
-        FROM (SELECT p.*, d, CAST(d - INTERVAL 1 YEAR AS DATE) AS s FROM prices p, asof)
+        FROM (SELECT p.*, d, CAST(d - INTERVAL 1 YEAR AS DATE) AS s FROM prices p, as_of_day)
         GROUP BY symbol)
   WHERE start_date IS NOT NULL AND end_date IS NOT NULL""",
     ),
     "schedule": (
-        ["prices", "asof"],
+        ["prices", "as_of_day"],
         """SELECT symbol, i AS buy_no,
     CAST(date_trunc('month', d - 365) + to_months(CAST(i AS INTEGER)) AS DATE) AS target
-  FROM (SELECT DISTINCT symbol FROM prices), asof, range(12) t(i)""",
+  FROM (SELECT DISTINCT symbol FROM prices), as_of_day, range(12) t(i)""",
     ),
     "buys": (
         ["schedule"],
@@ -474,10 +500,10 @@ _CTES: dict[str, tuple[list[str], str]] = {
     final_price_usd, total_units * final_price_usd AS current_value_usd
   FROM (SELECT symbol, count(*) AS months, sum(units) AS total_units FROM buys GROUP BY symbol)
   JOIN (SELECT symbol, arg_max(close, date) FILTER (WHERE date <= d) AS final_price_usd
-        FROM prices, asof GROUP BY symbol) USING (symbol)""",
+        FROM prices, as_of_day GROUP BY symbol) USING (symbol)""",
     ),
     "strategies": (
-        ["dca_totals", "prices", "asof"],
+        ["dca_totals", "prices", "as_of_day"],
         """SELECT 'dca' AS strategy, symbol, CAST(total_invested_usd AS DOUBLE) AS principal_usd,
     months AS n_buys, total_units AS units, current_value_usd,
     current_value_usd - total_invested_usd AS pnl_usd,
@@ -488,14 +514,14 @@ _CTES: dict[str, tuple[list[str], str]] = {
     (1200.0 / a * b - 1200.0) / 1200.0
   FROM (SELECT symbol, arg_min(close, date) FILTER (WHERE date >= d - 365) AS a,
                arg_max(close, date) FILTER (WHERE date <= d) AS b
-        FROM prices, asof GROUP BY symbol)
+        FROM prices, as_of_day GROUP BY symbol)
   WHERE a IS NOT NULL AND b IS NOT NULL""",
     ),
     "vol": (
-        ["metrics", "asof"],
+        ["metrics", "as_of_day"],
         """SELECT symbol, asset_type, stddev_samp(daily_return) AS daily_return_stdev,
     count(daily_return) AS n_obs
-  FROM metrics, asof
+  FROM metrics, as_of_day
   WHERE date > d - 365 AND date <= d AND daily_return IS NOT NULL
   GROUP BY symbol, asset_type""",
     ),

@@ -29,24 +29,35 @@ from pricelake.plans.adapters import (
 )
 from pricelake.plans.registry import query
 from pricelake.plans.source_queries import calendar
-from pricelake.schemas import ASSET_CATALOG, ROLLING_DAYS
+from pricelake.schemas import ROLLING_DAYS
 
-_CATALOG = [
-    ("1-URGENT", "Urgent", "USD", "close_volume_only"),
-    ("2-HIGH", "High", "EUR", "ohlcv"),
-    ("5-LOW", "Low", None, None),
-]
+
+
+def catalog(spark) -> DataFrame:
+    """Descriptions of some of the symbols."""
+    return spark.sql(
+        """SELECT * FROM VALUES
+        ('1-URGENT', 'Urgent', 'USD', 'close_volume_only'),
+        ('2-HIGH', 'High', 'EUR', 'ohlcv'),
+        ('5-LOW', 'Low', NULL, NULL)
+        AS c(symbol, name, base_ccy, price_completeness)"""
+    )
 
 
 class Gold:
-    """The star schema over one silver frame."""
+    """The star schema over one silver frame.
 
-    def __init__(self, spark, sf_dir, silver: DataFrame | None = None):
-        self.silver = prices(spark, sf_dir) if silver is None else silver
-        self.catalog = spark.createDataFrame(_CATALOG, ASSET_CATALOG)
+    Where silver is a stored table (see ``workflows``) it is read many times; here it is an
+    aggregation of the orders, so it is kept (spilling to disk) instead of computed again
+    for every dimension. It holds one row per symbol and day.
+    """
+
+    def __init__(self, spark, sf_dir):
+        self.silver = prices(spark, sf_dir).persist()
+        self.catalog = catalog(spark)
         self.types = dim_asset_type(self.silver)
-        self.assets = dim_asset(self.silver, self.types, self.catalog)
-        self.dates = dim_date(self.silver, calendar(spark, sf_dir))
+        self.assets = dim_asset(self.silver, self.types, self.catalog).persist()
+        self.dates = dim_date(self.silver, calendar(spark, sf_dir)).persist()
         self.fact = fact_daily_price(self.silver, self.assets, self.dates)
 
     def metrics(self) -> DataFrame:
@@ -74,8 +85,7 @@ def q_dim_asset(spark, sf_dir):
 def q_dim_asset_many(spark, sf_dir):
     """Numbering of as many assets as there are parts."""
     silver = part_prices(spark, sf_dir).withColumn("source", F.lit("massive"))
-    catalog = spark.createDataFrame(_CATALOG, ASSET_CATALOG)
-    return dim_asset(silver, dim_asset_type(silver), catalog).select("asset_id", "symbol")
+    return dim_asset(silver, dim_asset_type(silver), catalog(spark)).select("asset_id", "symbol")
 
 
 @query(
@@ -89,10 +99,9 @@ def q_dim_asset_many(spark, sf_dir):
 def q_dim_asset_stable(spark, sf_dir):
     """Stocks got their ids first; the other symbols continue after them."""
     silver = prices(spark, sf_dir)
-    catalog = spark.createDataFrame(_CATALOG, ASSET_CATALOG)
     stocks = silver.where(F.col("asset_type") == "stock")
-    existing = dim_asset(stocks, dim_asset_type(stocks), catalog)
-    now = dim_asset(silver, dim_asset_type(silver), catalog, existing)
+    existing = dim_asset(stocks, dim_asset_type(stocks), catalog(spark))
+    now = dim_asset(silver, dim_asset_type(silver), catalog(spark), existing)
     return now.select("asset_id", "symbol", "asset_type")
 
 
@@ -120,7 +129,7 @@ def q_fact_daily_price(spark, sf_dir):
         f"""SELECT asset_id, date_id, close, ingested_on FROM (
     SELECT a.asset_id, d.date_id, p.close, p.ingested_on
     FROM (
-      SELECT symbol, date, close, CAST(ingested_at AS DATE) AS ingested_on, 1 AS pri
+      SELECT symbol, date, close, CAST(ingested_at AS DATE) + 3650 AS ingested_on, 1 AS pri
       FROM ({order_prices_sql()}) WHERE date >= DATE '1998-01-01' AND ingested_at + INTERVAL 3650 DAY >
         (SELECT max(ingested_at) FROM ({order_prices_sql("o_orderstatus = 'F'")}))
       UNION ALL
@@ -138,17 +147,13 @@ def q_fact_daily_price_incr(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     first = order_prices(orders.where(F.col("o_orderstatus") == "F"))
     current = fact_daily_price(first, gold.assets, gold.dates)
-    later = F.when(
-        F.col("date") >= "1998-01-01", F.col("ingested_at") + F.expr("interval 3650 day")
-    ).otherwise(F.col("ingested_at"))
+    again = F.col("ingested_at") + F.expr("interval 3650 day")
+    later = F.when(F.col("date") >= "1998-01-01", again).otherwise(F.col("ingested_at"))
     silver = gold.silver.withColumn("ingested_at", later)
     incremental = fact_daily_price(silver, gold.assets, gold.dates, current)
-    back = F.when(
-        F.col("date_id") >= 19980101,
-        F.to_date(F.col("ingested_at")),
-    ).otherwise(F.to_date("ingested_at"))
-    shifted = F.when(back > "2002-01-01", F.date_sub(back, 3650)).otherwise(back)
-    return incremental.select("asset_id", "date_id", "close", shifted.alias("ingested_on"))
+    return incremental.select(
+        "asset_id", "date_id", "close", F.to_date("ingested_at").alias("ingested_on")
+    )
 
 
 @query(

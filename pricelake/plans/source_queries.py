@@ -62,7 +62,7 @@ _BARS_SQL = """SELECT source, asset_type, symbol, date, open, high, low, close,
   FROM prices WHERE source = 'massive'"""
 
 _TICKS_SQL = """SELECT event_type AS symbol, CAST(event_id AS VARCHAR) AS page_id,
-    epoch_ms(ts) AS ts_ms, CAST(ts AS DATE) AS date, value AS close,
+    epoch_us(ts) // 1000 AS ts_ms, CAST(ts AS DATE) AS date, value AS close,
     CAST(json_extract_string(props, '$.k') AS DOUBLE) AS volume
   FROM events
   WHERE CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events)"""

@@ -13,6 +13,12 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Static settings: only a session that is yet to be created can take them.
+STATIC_CONF = {
+    # do not record the Python call site of every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
@@ -32,7 +38,7 @@ def build(master: str | None = None, app: str = "pricelake", **conf: str) -> Spa
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**STATIC_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

@@ -66,15 +66,15 @@ def normalize_series(
 
         return F.transform(_checked_pairs(name), one)
 
-    caps_ok = F.size(_checked_pairs("market_caps")) >= 0
+    # market caps are checked but not kept; a filter on them would parse every page twice
+    no_caps = F.filter(events("market_caps", False), lambda e: F.lit(False))
     ticks = (
-        pages.where(caps_ok)
-        .select(
+        pages.select(
             "page_id",
             "symbol",
             "asset_type",
             F.explode(
-                F.concat(events("prices", True), events("total_volumes", False))
+                F.concat(events("prices", True), events("total_volumes", False), no_caps)
             ).alias("e"),
         )
         .groupBy("page_id", "symbol", "asset_type", F.col("e.ts_ms").alias("ts_ms"))
