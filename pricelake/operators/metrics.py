@@ -96,7 +96,7 @@ def with_relative_performance(
     row per calendar day, which bounds the broadcast. Dates the benchmark lacks give null.
     """
     bench = benchmark.groupBy("date").agg(F.max("close").alias("_bench"))
-    bench_first = benchmark.agg(F.min_by("close", "date")).scalar()
+    bench_first = bench.agg(F.min_by("_bench", "date")).scalar()
     first = F.first("close").over(series_window(by).rowsBetween(W.unboundedPreceding, 0))
     return (
         series.withColumn("_own_first", first)

@@ -61,7 +61,8 @@ class Gold:
         self.fact = fact_daily_price(self.silver, self.assets, self.dates)
 
     def metrics(self) -> DataFrame:
-        return fact_daily_metrics(self.fact, self.dates, self.assets, benchmark=BENCHMARK)
+        fact = self.fact.persist()
+        return fact_daily_metrics(fact, self.dates, self.assets, benchmark=BENCHMARK)
 
 
 @query("dim_asset_type", sql("SELECT asset_type_id, name FROM types", "types"))
