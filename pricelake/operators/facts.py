@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.operators.upsert import upsert
-from pricelake.schemas import FACT_KEY
+from pyspark.sql import types as T
+
+from pricelake.operators.upsert import merge_into, upsert
+from pricelake.schemas import BRONZE, FACT_KEY
 from pricelake.sources.combine import append_with_new_columns
+from pricelake.sources.versioned import MonthlyTable
 
 MEASURES = [
     "open",
@@ -20,6 +23,15 @@ MEASURES = [
     "ingested_at",
 ]
 
+FACT = T.StructType(
+    [
+        T.StructField("asset_id", T.LongType(), False),
+        T.StructField("date_id", T.LongType(), False),
+        *[f for f in BRONZE.fields if f.name in MEASURES],
+    ]
+)
+FACT_MONTH = "concat_ws('-', substr(cast(date_id as string), 1, 4), substr(cast(date_id as string), 5, 2))"
+
 # The joins to the dimensions carry no broadcast hint: Spark broadcasts a dimension when
 # its size is below the session's threshold and shuffles otherwise.
 
@@ -56,6 +68,14 @@ def fact_daily_price(
     return upsert(widened, fresh.select(*widened.columns), keys=FACT_KEY, always_replace=True)
 
 
+def extend_fact(
+    table: MonthlyTable, silver: DataFrame, assets: DataFrame, dates: DataFrame
+) -> int:
+    """Bring newly ingested silver rows into the stored fact; only their months are rewritten."""
+    fresh = fact_rows(newer_than_fact(silver, table.read()), assets, dates)
+    return merge_into(table, fresh, keys=FACT_KEY, always_replace=True)
+
+
 def star_prices(
     fact: DataFrame, assets: DataFrame, types: DataFrame, dates: DataFrame
 ) -> DataFrame:

@@ -60,8 +60,15 @@ def upsert(
     )
 
 
-def merge_into(table: MonthlyTable, batch: DataFrame, arrival: list[str] | None = None) -> int:
-    """Upsert a batch of prices into the stored table and return the batch's row count.
+def merge_into(
+    table: MonthlyTable,
+    batch: DataFrame,
+    *,
+    keys: list[str] | None = None,
+    arrival: list[str] | None = None,
+    always_replace: bool = False,
+) -> int:
+    """Upsert a batch into a stored table and return the batch's row count.
 
     Only the months the batch touches are read and rewritten; readers see either the old
     or the new state.
@@ -71,6 +78,12 @@ def merge_into(table: MonthlyTable, batch: DataFrame, arrival: list[str] | None
         return 0
     cols = table.schema.fieldNames()
     extra = [c for c in (arrival or []) if c not in cols]
-    merged = upsert(table.read(months), batch.select(*cols, *extra), arrival=arrival)
+    merged = upsert(
+        table.read(months),
+        batch.select(*cols, *extra),
+        keys=keys,
+        arrival=arrival,
+        always_replace=always_replace,
+    )
     table.publish(merged, months)
     return batch.count()

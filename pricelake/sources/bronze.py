@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from typing import NamedTuple
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +18,16 @@ PARTITIONS = ["source", "asset_type", "ingested_date"]
 _STORED = T.StructType([*BRONZE.fields, T.StructField("ingested_date", T.DateType())])
 
 
-def write_bronze(rows: DataFrame, root: str) -> int:
-    """Publish a batch and return its row count.
+class Written(NamedTuple):
+    """What a batch put into bronze: rows and the span of its ingestion days."""
+
+    rows: int
+    first_day: dt.date | None
+    last_day: dt.date | None
+
+
+def write_bronze(rows: DataFrame, root: str) -> Written:
+    """Publish a batch and return its row count and ingestion days.
 
     The contract is checked inside the write itself, so good data is read once; a
     violation fails the job before anything is committed, and only then all violations
@@ -29,7 +41,12 @@ def write_bronze(rows: DataFrame, root: str) -> int:
     checked = (
         guard(rows, BRONZE_RULES)
         .select(*BRONZE.fieldNames(), F.to_date("ingested_at").alias("ingested_date"))
-        .observe(counted, F.count(F.lit(1)).alias("rows"))
+        .observe(
+            counted,
+            F.count(F.lit(1)).alias("rows"),
+            F.min("ingested_date").alias("first_day"),
+            F.max("ingested_date").alias("last_day"),
+        )
         # lets adaptive execution split a folder that holds most of the batch
         .hint("rebalance", *PARTITIONS)
     )
@@ -45,9 +62,17 @@ def write_bronze(rows: DataFrame, root: str) -> int:
         if found:
             raise ContractError([tuple(r) for r in found]) from failed
         raise
-    return counted.get["rows"]
+    try:
+        seen = counted.get
+    except Py4JJavaError:
+        # Spark found the batch to be empty while planning and dropped the observation
+        return Written(0, None, None)
+    return Written(seen["rows"], seen["first_day"], seen["last_day"])
 
 
-def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """All bronze rows with ``ingested_date``; filters on the folders prune the scan."""
-    return spark.read.schema(_STORED).parquet(root)
+def read_bronze(spark: SparkSession, root: str, written: Written | None = None) -> DataFrame:
+    """Bronze rows with ``ingested_date``; of one batch, only its days' folders are read."""
+    rows = spark.read.schema(_STORED).parquet(root)
+    if written is None:
+        return rows
+    return rows.where(F.col("ingested_date").between(written.first_day, written.last_day))

@@ -1,8 +1,8 @@
-"""A month-partitioned Parquet table whose months are replaced all or nothing.
+"""Parquet tables that are replaced all or nothing.
 
-Every publish writes the touched months under a fresh version number and then one small
-manifest (month -> version). Readers follow the newest complete manifest, so a job that
-dies leaves the previous state in place, and untouched months are never rewritten.
+A folder holds numbered versions; a version counts once Spark has committed it (its
+``_SUCCESS`` marker exists), and readers take the newest one. A job that dies leaves the
+previous state in place, and the next attempt overwrites its remains.
 """
 
 from __future__ import annotations
@@ -14,35 +14,81 @@ from pyspark.sql import types as T
 _MANIFEST = "month string, version int"
 
 
+def _fs(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def committed_versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the complete versions under ``folder``, ascending."""
+    fs, path = _fs(spark, folder)
+    if not fs.exists(path):
+        return []
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(
+        int(s.getPath().getName())
+        for s in fs.listStatus(path)
+        if fs.exists(done(s.getPath(), "_SUCCESS"))
+    )
+
+
+def _overwrite(df: DataFrame, path: str, *partitions: str) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+
+
+class VersionedTable:
+    """A table that is rebuilt in full."""
+
+    def __init__(self, spark: SparkSession, root: str, keep: int = 2):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.keep = keep
+
+    def read(self) -> DataFrame | None:
+        """The newest version, or None before the first."""
+        done = committed_versions(self.spark, self.root)
+        return self.spark.read.parquet(f"{self.root}/{done[-1]}") if done else None
+
+    def replace(self, df: DataFrame) -> DataFrame:
+        """Publish a new version, drop those older than the last ``keep``, read it back."""
+        done = committed_versions(self.spark, self.root)
+        number = (done[-1] if done else 0) + 1
+        _overwrite(df, f"{self.root}/{number}")
+        for old in [*done, number][: -self.keep]:
+            fs, path = _fs(self.spark, f"{self.root}/{old}")
+            fs.delete(path, True)
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{number}")
+
+
 class MonthlyTable:
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
+    """A table whose months are replaced independently.
+
+    A publish writes the touched months under a fresh version number and then one small
+    manifest (month -> version), which is itself a numbered version. Untouched months are
+    never rewritten. ``month`` is the SQL expression of a row's month.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: T.StructType,
+        month: str = "date_format(date, 'yyyy-MM')",
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
+        self.month = month
 
-    # -- manifest ---------------------------------------------------------------------
-
-    def _generations(self) -> list[int]:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        return sorted(
-            int(s.getPath().getName())
-            for s in fs.listStatus(path)
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-        )
+    def _manifest(self, generation: int) -> dict[str, int]:
+        rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/{generation}")
+        return {r["month"]: r["version"] for r in rows.collect()}
 
     def months(self) -> dict[str, int]:
         """Month -> version of the current state; one entry per calendar month."""
-        done = self._generations()
-        if not done:
-            return {}
-        rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/{done[-1]}")
-        return {r["month"]: r["version"] for r in rows.collect()}
-
-    # -- data -------------------------------------------------------------------------
+        done = committed_versions(self.spark, f"{self.root}/manifest")
+        return self._manifest(done[-1]) if done else {}
 
     def read(self, only_months: set[str] | None = None) -> DataFrame:
         """The current rows, optionally of some months only (others are not listed)."""
@@ -55,29 +101,33 @@ class MonthlyTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*wanted)
 
-    def touched_months(self, batch: DataFrame, date: str = "date") -> set[str]:
+    def touched_months(self, batch: DataFrame) -> set[str]:
         """Months present in a batch (bounded by the calendar)."""
-        month = F.date_format(date, "yyyy-MM").alias("m")
-        return {r["m"] for r in batch.select(month).distinct().collect()}
+        return {r["m"] for r in batch.select(F.expr(self.month).alias("m")).distinct().collect()}
 
-    def publish(self, rows: DataFrame, months: set[str], date: str = "date") -> None:
+    def publish(self, rows: DataFrame, months: set[str]) -> None:
         """Replace ``months`` by ``rows`` and keep every other month as it is."""
-        current = self.months()
-        done = self._generations()
+        done = committed_versions(self.spark, f"{self.root}/manifest")
         generation = (done[-1] if done else 0) + 1
-        (
-            rows.withColumn("month", F.date_format(date, "yyyy-MM"))
-            .hint("rebalance", "month")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("month")
-            .parquet(f"{self.root}/data/version={generation}")
-        )
-        state = {**current, **dict.fromkeys(months, generation)}
-        (
-            self.spark.createDataFrame(sorted(state.items()), _MANIFEST)
-            .coalesce(1)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .parquet(f"{self.root}/manifest/{generation}")
-        )
+        state = {**self.months(), **dict.fromkeys(months, generation)}
+        # rebalance: adaptive execution splits a month that holds most rows, merges small ones
+        placed = rows.withColumn("month", F.expr(self.month)).hint("rebalance", "month")
+        _overwrite(placed, f"{self.root}/data/version={generation}", "month")
+        manifest = self.spark.createDataFrame(sorted(state.items()), _MANIFEST).coalesce(1)
+        _overwrite(manifest, f"{self.root}/manifest/{generation}")
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete month folders that none of the last ``keep`` manifests refers to."""
+        done = committed_versions(self.spark, f"{self.root}/manifest")
+        kept = {item for g in done[-keep:] for item in self._manifest(g).items()}
+        dropped = 0
+        for generation in done[:-keep]:
+            fs, folder = _fs(self.spark, f"{self.root}/data/version={generation}")
+            if not fs.exists(folder):
+                continue
+            for status in fs.listStatus(folder):
+                name = status.getPath().getName()
+                if name.startswith("month=") and (name[6:], generation) not in kept:
+                    fs.delete(status.getPath(), True)
+                    dropped += 1
+        return dropped
