@@ -75,13 +75,14 @@ def beat_count(winners: DataFrame) -> DataFrame:
 
 def lump_ranking(lump: DataFrame) -> DataFrame:
     """Lump-sum outcomes, best first (a distributed sort)."""
-    return lump.orderBy(F.desc("total_return"), "symbol")
+    return lump.orderBy(F.desc_nulls_last("total_return"), "symbol")
 
 
 def best_worst(lump: DataFrame, *, benchmark: str) -> DataFrame:
     """Best, worst and benchmark outcome. One row."""
     r = F.col("total_return")
-    high, low = F.struct(-r, "symbol"), F.struct(r, "symbol")
+    high = F.when(r.isNotNull(), F.struct(-r, "symbol"))
+    low = F.when(r.isNotNull(), F.struct(r, "symbol"))
     own = F.when(F.col("symbol") == benchmark, 1)
     return lump.agg(
         F.min_by("symbol", high).alias("best_symbol"),
@@ -190,7 +191,7 @@ def kpi_row(
         )
     ).scalar()
     base = best_worst(lump, benchmark=benchmark)
-    best_value = lump.agg(
+    best_value = lump.where(F.col("total_return").isNotNull()).agg(
         F.min_by("current_value_usd", F.struct(-F.col("total_return"), "symbol"))
     ).scalar()
     return (

@@ -18,6 +18,11 @@ def _outcome(value: Column, invested: Column) -> list[Column]:
     ]
 
 
+def _units(amount: Column, price: Column) -> Column:
+    """Units bought; null at a zero price, which makes the symbol's outcome unknown."""
+    return amount / F.nullif(price, F.lit(0.0))
+
+
 def lump_sum(prices: DataFrame, *, principal_usd: float, start, end) -> DataFrame:
     """Buy at the first close on or after ``start``, value at the last one up to ``end``.
 
@@ -26,7 +31,7 @@ def lump_sum(prices: DataFrame, *, principal_usd: float, start, end) -> DataFram
     day = F.col("date")
     entry_day = F.when(day >= as_date(start), day)
     exit_day = F.when(day <= as_date(end), day)
-    units = F.col("principal_usd") / F.col("start_price")
+    units = _units(F.col("principal_usd"), F.col("start_price"))
     return (
         prices.groupBy("symbol")
         .agg(
@@ -90,7 +95,7 @@ def dca_buys(
         first_of_slot.withColumn("_earlier", earlier)
         .withColumn("buy_no", F.explode(F.sequence(F.col("_earlier") + 1, F.col("slot"))))
         .withColumn("target", monthly_target(begin, F.col("buy_no"), buy_day))
-        .withColumn("units", F.lit(float(monthly_amount_usd)) / F.col("price"))
+        .withColumn("units", _units(F.lit(float(monthly_amount_usd)), F.col("price")))
         .select("symbol", "buy_no", "target", "fill_date", "price", "units")
     )
 
@@ -110,7 +115,8 @@ def dca(
         prices, monthly_amount_usd=monthly_amount_usd, months=months, start=start, buy_day=buy_day
     )
     totals = buys.groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("months"), F.sum("units").alias("total_units")
+        F.count(F.lit(1)).alias("months"),
+        F.when(F.count("units") == F.count(F.lit(1)), F.sum("units")).alias("total_units"),
     )
     last = latest_price(prices, end).select("symbol", F.col("close").alias("final_price_usd"))
     amount = F.lit(float(monthly_amount_usd))

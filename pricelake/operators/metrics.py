@@ -18,73 +18,129 @@ from pricelake.functions.returns import (
 )
 from pricelake.schemas import FACT_KEY, ROLLING_DAYS, VOLATILITY_ROWS
 
-# Width in days of the narrow look-back frames, and spacing of bridge rows in gaps.
-_SLACK = 30
+# Default width in days of the narrow look-back frames, and spacing of the bridge rows in
+# longer gaps: weekends and holidays need no bridge. Series that usually have longer
+# gaps are served better by a larger value; the results do not depend on it.
+SLACK_DAYS = 7
 
 
 def rolling_column(days: int) -> str:
     return f"rolling_return_{days}d"
 
 
+_NEIGHBOURS = ["_prev_close", "_prev_date", "_first_close"]
+
+
+def _with_neighbours(series: DataFrame, by: list[str]) -> DataFrame:
+    """Previous close and date and the first close, all from one pass over the window."""
+    order = series_window(by)
+    so_far = order.rowsBetween(W.unboundedPreceding, 0)
+    return series.withColumns(
+        {
+            "_prev_close": F.lag("close").over(order),
+            "_prev_date": F.lag("date").over(order),
+            "_first_close": F.first("close").over(so_far),
+        }
+    )
+
+
 def rolling_returns(
-    series: DataFrame, *, by: list[str], windows: list[int], date: str = "date", close: str = "close"
+    series: DataFrame, *, by: list[str], windows: list[int], slack_days: int = SLACK_DAYS
 ) -> DataFrame:
     """Add ``rolling_return_<n>d`` for every window of n calendar days.
 
     The base of a window is the first close on or after ``date - n``. A plain RANGE frame
-    re-reads up to n rows per row. Here the frame is only ``_SLACK`` days wide, placed at
+    re-reads up to n rows per row. Here the frame is only ``slack_days`` wide, placed at
     the old end of the window. Where a series has a longer gap than that, bridge rows
     carrying the close that ends the gap are put into it, so a narrow frame that is empty
     can only lie before the first row, whose close is then the base. Exact for any gaps;
     needs a non-null close.
     """
-    order = series_window(by, date)
-    longest = max(windows)
-    prev = F.lag(date).over(order)
-    gap_start = F.greatest(F.date_add(F.col("_prev"), 1), F.date_sub(F.col(date), longest))
+    rows = _with_neighbours(series, by)
+    return _rolling(rows, by, windows, slack_days).drop(*_NEIGHBOURS)
+
+
+def _rolling(rows: DataFrame, by: list[str], windows: list[int], slack_days: int) -> DataFrame:
+    day, prev = F.col("date"), F.col("_prev_date")
+    gap_start = F.greatest(F.date_add(prev, 1), F.date_sub(day, max(windows)))
     bridged = F.when(
-        F.datediff(F.col(date), F.col("_prev")) > _SLACK,
-        F.sequence(F.col(date), gap_start, F.expr(f"interval -{_SLACK} day")),
-    ).otherwise(F.array(F.col(date)))
-    rows = (
-        series.withColumn("_prev", prev)
-        .withColumn("_first", F.first(close).over(order.rowsBetween(W.unboundedPreceding, 0)))
-        .withColumn("_at", F.explode(bridged))
-        .drop("_prev")
-    )
+        F.datediff(day, prev) > slack_days,
+        F.sequence(day, gap_start, F.expr(f"interval -{int(slack_days)} day")),
+    ).otherwise(F.array(day))
     keys = ", ".join(f"`{k}`" for k in by)
 
     def base(n: int) -> Column:
-        near = f"interval '{max(n - _SLACK, 0)}' day preceding" if n > _SLACK else "current row"
+        near = f"interval '{n - slack_days}' day preceding" if n > slack_days else "current row"
         found = F.expr(
-            f"first_value(`{close}`) over (partition by {keys} order by `_at` "
+            f"first_value(close) over (partition by {keys} order by `_at` "
             f"range between interval '{int(n)}' day preceding and {near})"
         )
-        return F.coalesce(found, F.col("_first"))
+        return F.coalesce(found, F.col("_first_close"))
 
+    bases = {f"_base{n}": base(n) for n in windows}
     return (
-        rows.withColumns({f"_base{n}": base(n) for n in windows})
-        .where(F.col("_at") == F.col(date))
-        .withColumns({rolling_column(n): change(F.col(close), F.col(f"_base{n}")) for n in windows})
-        .drop("_at", "_first", *[f"_base{n}" for n in windows])
+        rows.withColumn("_at", F.explode(bridged))
+        .withColumns(bases)
+        .where(F.col("_at") == day)
+        .withColumns({rolling_column(n): change(F.col("close"), F.col(f"_base{n}")) for n in windows})
+        .drop("_at", *bases)
     )
 
 
 def with_daily_returns(series: DataFrame, *, by: list[str]) -> DataFrame:
     """Add daily_return and log_return against the previous row."""
-    step = ratio(F.col("close"), F.lag("close").over(series_window(by)))
-    return (
-        series.withColumn("_step", step)
-        .withColumn("daily_return", F.col("_step") - F.lit(1.0))
-        .withColumn("log_return", F.ln("_step"))
-        .drop("_step")
-    )
+    prev = F.lag("close").over(series_window(by))
+    return _daily(series.withColumn("_prev_close", prev)).drop("_prev_close")
+
+
+def _daily(rows: DataFrame) -> DataFrame:
+    step = ratio(F.col("close"), F.col("_prev_close"))
+    return rows.withColumns({"daily_return": step - F.lit(1.0), "log_return": F.ln(step)})
 
 
 def with_volatility(series: DataFrame, *, by: list[str], rows: int = VOLATILITY_ROWS) -> DataFrame:
-    """Add rolling_vol_<rows>d over a frame of rows (not days)."""
-    sigma = rolling_volatility(F.col("daily_return"), series_window(by), rows)
-    return series.withColumn(f"rolling_vol_{rows}d", sigma)
+    """Add rolling_vol_<rows>d: deviation over a frame of rows (not days), if all are known.
+
+    A sliding frame is re-read for every row, so the frame is put together from equal
+    chunks: count, mean and deviation of the last few rows, looked up at fixed distances
+    and merged with the parallel variance formula.
+    """
+    out = f"rolling_vol_{rows}d"
+    order = series_window(by)
+    chunk = next((c for c in (6, 5, 4, 3, 2) if rows % c == 0 and rows > c), None)
+    if chunk is None:
+        return series.withColumn(out, rolling_volatility(F.col("daily_return"), order, rows))
+    frame = order.rowsBetween(-(chunk - 1), 0)
+    r = F.col("daily_return")
+    part = series.withColumns(
+        {
+            "_n": F.count(r).over(frame),
+            "_mean": F.avg(r).over(frame),
+            "_var": F.var_pop(r).over(frame),
+        }
+    )
+    back = range(0, rows, chunk)
+    part = part.withColumns(
+        {
+            f"{c}{k}": F.lag(c, k).over(order) if k else F.col(c)
+            for k in back
+            for c in ("_n", "_mean", "_var")
+        }
+    )
+    complete = F.lit(True)
+    mean = F.lit(0.0)
+    for k in back:
+        complete = complete & (F.col(f"_n{k}") == chunk)
+        mean = mean + F.col(f"_mean{k}") / len(back)
+    spread = F.lit(0.0)
+    for k in back:
+        gap = F.col(f"_mean{k}") - F.col("_all_mean")
+        spread = spread + F.col(f"_var{k}") + gap * gap
+    return (
+        part.withColumn("_all_mean", mean)
+        .withColumn(out, F.when(complete, F.sqrt(spread * chunk / (rows - 1))))
+        .select(*series.columns, out)
+    )
 
 
 def with_relative_performance(
@@ -95,17 +151,19 @@ def with_relative_performance(
     ``benchmark`` is (date, close) of one symbol. It is grouped by date, hence at most one
     row per calendar day, which bounds the broadcast. Dates the benchmark lacks give null.
     """
+    so_far = series_window(by).rowsBetween(W.unboundedPreceding, 0)
+    rows = series.withColumn("_first_close", F.first("close").over(so_far))
+    return _relative(rows, benchmark, out).drop("_first_close")
+
+
+def _relative(rows: DataFrame, benchmark: DataFrame, out: str) -> DataFrame:
     bench = benchmark.groupBy("date").agg(F.max("close").alias("_bench"))
     bench_first = bench.agg(F.min_by("_bench", "date")).scalar()
-    first = F.first("close").over(series_window(by).rowsBetween(W.unboundedPreceding, 0))
+    growth = ratio(F.col("close"), F.col("_first_close"))
     return (
-        series.withColumn("_own_first", first)
-        .join(F.broadcast(bench), "date", "left")
-        .withColumn(
-            out,
-            ratio(F.col("close"), F.col("_own_first")) - ratio(F.col("_bench"), bench_first),
-        )
-        .drop("_own_first", "_bench")
+        rows.join(F.broadcast(bench), "date", "left")
+        .withColumn(out, growth - ratio(F.col("_bench"), bench_first))
+        .drop("_bench")
     )
 
 
@@ -116,12 +174,13 @@ def add_metrics(
     by: list[str],
     windows: list[int] | None = None,
     vol_rows: int = VOLATILITY_ROWS,
+    slack_days: int = SLACK_DAYS,
 ) -> DataFrame:
     """All metrics on (by..., date, close): one shuffle by asset serves every frame."""
-    out = with_daily_returns(series, by=by)
+    out = _daily(_with_neighbours(series, by))
     out = with_volatility(out, by=by, rows=vol_rows)
-    out = with_relative_performance(out, benchmark, by=by)
-    return rolling_returns(out, by=by, windows=windows or ROLLING_DAYS)
+    out = _relative(out, benchmark, "rel_perf_vs_btc")
+    return _rolling(out, by, windows or ROLLING_DAYS, slack_days).drop(*_NEIGHBOURS)
 
 
 def metric_columns(windows: list[int] | None = None, vol_rows: int = VOLATILITY_ROWS) -> list[str]:

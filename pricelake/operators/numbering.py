@@ -22,10 +22,10 @@ def number_rows(
 ) -> DataFrame:
     """Number the rows 1..n by ``order`` (ascending, must be unique per row).
 
-    Counts up to ``small + 1`` rows first: a table that small is numbered by one window,
-    a larger one in ranges (``number_rows_in_ranges``).
+    Counts the rows first: a table of at most ``small`` is numbered by one window, a larger
+    one in ranges (``number_rows_in_ranges``).
     """
-    if df.limit(small + 1).count() > small:
+    if df.count() > small:
         return number_rows_in_ranges(df, order, out, start=start)
     first = start if isinstance(start, Column) else F.lit(start)
     place = F.row_number().over(W.orderBy(*order))

@@ -274,24 +274,21 @@ def quality_rollup(results: DataFrame) -> DataFrame:
         raw = F.get_json_object("details", f"$.{key}")
         return F.coalesce(F.sum(raw.try_cast("bigint")), F.lit(0).cast("long")).alias(key)
 
-    return results.groupBy("test_name").agg(
+    counts = results.groupBy("test_name").agg(
         F.count(F.lit(1)).alias("runs"),
         F.count_if(~F.col("passed")).alias("failures"),
         total("duplicate_keys"),
         total("null_close_rows"),
         total("out_of_range_rows"),
-        F.concat_ws(
-            ",",
-            F.array_sort(
-                F.array_distinct(
-                    F.flatten(
-                        F.collect_set(
-                            F.from_json(
-                                F.get_json_object("details", "$.stale_symbols"), "array<string>"
-                            )
-                        )
-                    )
-                )
-            ),
-        ).alias("stale_symbols"),
+    )
+    # distinct before collecting: a list holds each symbol once, however many runs saw it
+    listed = F.from_json(F.get_json_object("details", "$.stale_symbols"), "array<string>")
+    stale = (
+        results.select("test_name", F.explode(listed).alias("symbol"))
+        .distinct()
+        .groupBy("test_name")
+        .agg(F.array_join(F.array_sort(F.collect_list("symbol")), ",").alias("stale_symbols"))
+    )
+    return counts.join(stale, "test_name", "left").withColumn(
+        "stale_symbols", F.coalesce("stale_symbols", F.lit(""))
     )

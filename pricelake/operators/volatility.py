@@ -61,13 +61,14 @@ def volatility_rank(vol: DataFrame, *, reference: str, numbering=number_rows) ->
 def volatility_extremes(vol: DataFrame, *, benchmark: str) -> DataFrame:
     """Most and least volatile symbol, and the benchmark's rank among all. One row."""
     sigma = F.col("daily_return_stdev")
+    known = sigma.isNotNull()
     own = vol.where(F.col("symbol") == benchmark).agg(F.max("daily_return_stdev")).scalar()
     return (
         vol.withColumn("_own", own)
         .agg(
-            F.min_by("symbol", F.struct(-sigma, "symbol")).alias("most_volatile"),
+            F.min_by("symbol", F.when(known, F.struct(-sigma, "symbol"))).alias("most_volatile"),
             F.max(annualised_percent(sigma)).alias("most_annualised_pct"),
-            F.min_by("symbol", F.struct(sigma, "symbol")).alias("least_volatile"),
+            F.min_by("symbol", F.when(known, F.struct(sigma, "symbol"))).alias("least_volatile"),
             F.min(annualised_percent(sigma)).alias("least_annualised_pct"),
             F.count(F.lit(1)).alias("symbols"),
             (

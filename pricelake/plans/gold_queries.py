@@ -204,7 +204,7 @@ def q_rolling_return(spark, sf_dir):
 def q_rolling_return_parts(spark, sf_dir):
     """The narrow-frame operator on many sparse series with long gaps."""
     p = part_prices(spark, sf_dir).select("symbol", "date", "close")
-    out = rolling_returns(p, by=["symbol"], windows=ROLLING_DAYS)
+    out = rolling_returns(p, by=["symbol"], windows=ROLLING_DAYS, slack_days=90)
     return rounded(out.drop("close"), 8, *_ROLLING_COLS)
 
 
@@ -281,7 +281,7 @@ def q_daily_metrics_brands(spark, sf_dir):
 def q_daily_metrics_parts(spark, sf_dir):
     """All metrics over as many symbols as there are parts."""
     p = part_prices(spark, sf_dir).select("symbol", "date", "close")
-    out = add_metrics(p, p.where(F.col("symbol") == "P1"), by=["symbol"])
+    out = add_metrics(p, p.where(F.col("symbol") == "P1"), by=["symbol"], slack_days=90)
     return rounded(out.select("symbol", "date", *metric_columns()), 8, *metric_columns())
 
 
