@@ -65,24 +65,15 @@ def correlation_long(
         "v",
     )
     return sent.groupBy("low", "high").applyInPandas(
-        _correlate_blocks, "symbol string, other string, correlation double, n_days long"
+        _block_correlator(), "symbol string, other string, correlation double, n_days long"
     )
 
 
-def _correlate_blocks(pair: pd.DataFrame) -> pd.DataFrame:
-    low, high = int(pair["low"].iloc[0]), int(pair["high"].iloc[0])
-    x = np.array(pair["v"].tolist(), dtype=float)
-    days = x.shape[1]
-    x = x - x.mean(axis=1, keepdims=True)
-    norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        x = x / norm
-    names = pair["symbol"].to_numpy()
-    own = pair["own"].to_numpy()
-    a, b = own == low, own == high
-    r = np.clip(x[a] @ x[b].T, -1.0, 1.0)
-
-    def cells(rows: np.ndarray, cols: np.ndarray, m: np.ndarray) -> pd.DataFrame:
+def _block_correlator():
+    """The per-block function, as a closure: it travels to the workers by value, so they
+    need numpy and pandas but not this package."""
+
+    def cells(rows: np.ndarray, cols: np.ndarray, m: np.ndarray, days: int) -> pd.DataFrame:
         return pd.DataFrame(
             {
                 "symbol": np.repeat(rows, len(cols)),
@@ -92,10 +83,24 @@ def _correlate_blocks(pair: pd.DataFrame) -> pd.DataFrame:
             }
         )
 
-    out = cells(names[a], names[b], r)
-    if low == high:
-        return out
-    return pd.concat([out, cells(names[b], names[a], r.T)], ignore_index=True)
+    def correlate(pair: pd.DataFrame) -> pd.DataFrame:
+        low, high = int(pair["low"].iloc[0]), int(pair["high"].iloc[0])
+        x = np.array(pair["v"].tolist(), dtype=float)
+        days = x.shape[1]
+        x = x - x.mean(axis=1, keepdims=True)
+        norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            x = x / norm
+        names = pair["symbol"].to_numpy()
+        own = pair["own"].to_numpy()
+        a, b = own == low, own == high
+        r = np.clip(x[a] @ x[b].T, -1.0, 1.0)
+        out = cells(names[a], names[b], r, days)
+        if low == high:
+            return out
+        return pd.concat([out, cells(names[b], names[a], r.T, days)], ignore_index=True)
+
+    return correlate
 
 
 def correlation_matrix(long: DataFrame, symbols: list[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ window partition holds at most one row per day and no asset can dominate a task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -28,6 +28,7 @@ def rolling_column(days: int) -> str:
     return f"rolling_return_{days}d"
 
 
+_AT = "_at"
 _NEIGHBOURS = ["_prev_close", "_prev_date", "_first_close"]
 
 
@@ -57,10 +58,11 @@ def rolling_returns(
     needs a non-null close.
     """
     rows = _with_neighbours(series, by)
-    return _rolling(rows, by, windows, slack_days).drop(*_NEIGHBOURS)
+    return _rolling(rows, by, windows, slack_days).drop(_AT, *_NEIGHBOURS)
 
 
 def _rolling(rows: DataFrame, by: list[str], windows: list[int], slack_days: int) -> DataFrame:
+    """The rows stay sorted by ``_at``, which equals the date once the bridges are gone."""
     day, prev = F.col("date"), F.col("_prev_date")
     gap_start = F.greatest(F.date_add(prev, 1), F.date_sub(day, max(windows)))
     bridged = F.when(
@@ -72,18 +74,18 @@ def _rolling(rows: DataFrame, by: list[str], windows: list[int], slack_days: int
     def base(n: int) -> Column:
         near = f"interval '{n - slack_days}' day preceding" if n > slack_days else "current row"
         found = F.expr(
-            f"first_value(close) over (partition by {keys} order by `_at` "
+            f"first_value(close) over (partition by {keys} order by `{_AT}` "
             f"range between interval '{int(n)}' day preceding and {near})"
         )
         return F.coalesce(found, F.col("_first_close"))
 
     bases = {f"_base{n}": base(n) for n in windows}
     return (
-        rows.withColumn("_at", F.explode(bridged))
+        rows.withColumn(_AT, F.explode(bridged))
         .withColumns(bases)
-        .where(F.col("_at") == day)
+        .where(F.col(_AT) == day)
         .withColumns({rolling_column(n): change(F.col("close"), F.col(f"_base{n}")) for n in windows})
-        .drop("_at", *bases)
+        .drop(*bases)
     )
 
 
@@ -105,8 +107,11 @@ def with_volatility(series: DataFrame, *, by: list[str], rows: int = VOLATILITY_
     chunks: count, mean and deviation of the last few rows, looked up at fixed distances
     and merged with the parallel variance formula.
     """
+    return _volatility(series, series_window(by), rows)
+
+
+def _volatility(series: DataFrame, order: WindowSpec, rows: int) -> DataFrame:
     out = f"rolling_vol_{rows}d"
-    order = series_window(by)
     chunk = next((c for c in (6, 5, 4, 3, 2) if rows % c == 0 and rows > c), None)
     if chunk is None:
         return series.withColumn(out, rolling_volatility(F.col("daily_return"), order, rows))
@@ -176,11 +181,14 @@ def add_metrics(
     vol_rows: int = VOLATILITY_ROWS,
     slack_days: int = SLACK_DAYS,
 ) -> DataFrame:
-    """All metrics on (by..., date, close): one shuffle by asset serves every frame."""
-    out = _daily(_with_neighbours(series, by))
-    out = with_volatility(out, by=by, rows=vol_rows)
-    out = _relative(out, benchmark, "rel_perf_vs_btc")
-    return _rolling(out, by, windows or ROLLING_DAYS, slack_days).drop(*_NEIGHBOURS)
+    """All metrics on (by..., date, close): one shuffle by asset serves every frame.
+
+    The calendar windows come first, while the rows are narrow; the volatility frames reuse
+    the order they leave behind.
+    """
+    out = _rolling(_with_neighbours(series, by), by, windows or ROLLING_DAYS, slack_days)
+    out = _volatility(_daily(out), series_window(by, _AT), vol_rows)
+    return _relative(out, benchmark, "rel_perf_vs_btc").drop(_AT, *_NEIGHBOURS)
 
 
 def metric_columns(windows: list[int] | None = None, vol_rows: int = VOLATILITY_ROWS) -> list[str]:

@@ -170,8 +170,13 @@ class Lake:
             "correlation_long": correlations,
             "correlation_matrix": correlation_matrix(correlations),
         }
+        order = {
+            "returns_by_window": ["window", "symbol"],
+            "volatility_summary": ["symbol"],
+            "correlation_matrix": ["symbol"],
+        }
         for name, df in answers.items():
-            write_answer(df, self.path("answers"), name)
+            write_answer(df, self.path("answers"), name, order.get(name))
         correlations.unpersist()
         return list(answers)
 

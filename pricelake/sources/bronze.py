@@ -11,8 +11,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelake.operators.contract import BRONZE_RULES, ContractError, extra_columns, guard, report
+from pricelake.operators.contract import (
+    BRONZE_RULES,
+    ContractError,
+    coerce,
+    extra_columns,
+    guard,
+    missing_columns,
+    report,
+)
 from pricelake.schemas import BRONZE
+from pricelake.sources.combine import conform
 
 PARTITIONS = ["source", "asset_type", "ingested_date"]
 _STORED = T.StructType([*BRONZE.fields, T.StructField("ingested_date", T.DateType())])
@@ -34,12 +43,13 @@ def write_bronze(rows: DataFrame, root: str) -> Written:
     are counted for the error. Running the same day again replaces its folders
     (dynamic overwrite). An empty batch writes nothing.
     """
-    extra = extra_columns(rows, BRONZE)
-    if extra:
-        raise ContractError([("no_extra_columns", c, 1) for c in extra])
+    wrong = [("no_extra_columns", c, 1) for c in extra_columns(rows, BRONZE)]
+    wrong += [("column_present", c, 1) for c in missing_columns(rows, BRONZE)]
+    if wrong:
+        raise ContractError(wrong)
     counted = Observation("bronze")
     checked = (
-        guard(rows, BRONZE_RULES)
+        guard(conform(rows), BRONZE_RULES)
         .select(*BRONZE.fieldNames(), F.to_date("ingested_at").alias("ingested_date"))
         .observe(
             counted,
@@ -58,7 +68,9 @@ def write_bronze(rows: DataFrame, root: str) -> Written:
             .parquet(root)
         )
     except PySparkException as failed:
-        found = [r for r in report(rows, BRONZE_RULES).collect() if r["violations"]]
+        coerced, cast_rules = coerce(rows, BRONZE)
+        every = report(coerced, [*cast_rules, *BRONZE_RULES])
+        found = [r for r in every.collect() if r["violations"]]
         if found:
             raise ContractError([tuple(r) for r in found]) from failed
         raise

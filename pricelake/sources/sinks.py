@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_answer(df: DataFrame, root: str, name: str) -> None:
-    """Write ``name`` in both formats; computed once, the CSV is read off the Parquet."""
+def write_answer(
+    df: DataFrame, root: str, name: str, order_by: list[str] | None = None
+) -> None:
+    """Write ``name`` in both formats; computed once, the CSV is read off the Parquet.
+
+    With ``order_by`` the files are globally ordered (a distributed sort).
+    """
+    if order_by:
+        df = df.orderBy(*order_by)
     folder = f"{root.rstrip('/')}/{name}"
     spark = df.sparkSession
     (

@@ -417,3 +417,32 @@ def test_top_pairs(spark):
 def test_human_amount_rejects_garbage(spark):
     with pytest.raises(PySparkException):
         spark.sql("select 'x' as raw").select(human_amount(F.col("raw"), F.lit(6))).collect()
+
+
+# -- price fact ----------------------------------------------------------------------------------
+
+
+def test_fact_takes_newer_rows_and_appends_columns(spark):
+    from pricelake.operators.facts import fact_daily_price
+    from pricelake.schemas import BRONZE
+    from tests.conftest import bronze_row
+
+    assets = spark.sql("select 1L as asset_id, 'A' as symbol")
+    dates = spark.sql("select * from values (20250101L, date'2025-01-01'), (20250102L, date'2025-01-02') as v(date_id, date)")
+    old = spark.createDataFrame([bronze_row("A", D(2025, 1, 1), 10.0, utc(2025, 1, 2))], BRONZE)
+    current = fact_daily_price(old, assets, dates).drop("vwap")
+    silver = spark.createDataFrame(
+        [
+            bronze_row("A", D(2025, 1, 1), 11.0, utc(2025, 1, 3)),
+            bronze_row("A", D(2025, 1, 2), 12.0, utc(2025, 1, 3)),
+            bronze_row("A", D(2025, 1, 2), 99.0, utc(2025, 1, 1)),
+            bronze_row("B", D(2025, 1, 2), 99.0, utc(2025, 1, 3)),
+        ],
+        BRONZE,
+    )
+    out = fact_daily_price(silver, assets, dates, current)
+    assert set(out.columns) == {*current.columns, "vwap"}
+    got = {r["date_id"]: (r["close"], r["vwap"]) for r in out.collect()}
+    assert got == {20250101: (11.0, 11.0), 20250102: (12.0, 12.0)}
+    same = fact_daily_price(old, assets, dates, current).collect()
+    assert [(r["close"], r["vwap"]) for r in same] == [(10.0, None)]

@@ -7,6 +7,7 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from pricelake.functions.dates import millis_to_date
 from pricelake.operators.contract import BRONZE_RULES, ContractError, coerce, violating_rows
@@ -184,6 +185,17 @@ def test_bronze_is_strict_about_columns(spark, tmp_path):
         write_bronze(rows.withColumn("surprise", rows.close), str(tmp_path / "b"))
 
 
+def test_bronze_needs_every_column_and_coerces_types(spark, tmp_path):
+    rows = bronze(spark, bronze_row("A", D(2025, 1, 1), 98.0, utc(2025, 1, 2)))
+    with pytest.raises(ContractError, match="column_present"):
+        write_bronze(rows.drop("vwap"), str(tmp_path / "b"))
+    text = rows.withColumns({"close": rows.close.cast("string"), "trade_count": rows.trade_count.cast("long")})
+    assert write_bronze(text, str(tmp_path / "b")).rows == 1
+    assert read_bronze(spark, str(tmp_path / "b")).first()["close"] == 98.0
+    with pytest.raises(ContractError, match="castable_to_double"):
+        write_bronze(text.withColumn("close", F.lit("n/a")), str(tmp_path / "c"))
+
+
 def test_coercion_reports_values_that_do_not_fit(spark):
     raw = spark.sql("select * from values ('1.5'), ('x'), (null) as v(close)")
     frame, rules = coerce(raw, BRONZE)
