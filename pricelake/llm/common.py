@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -37,15 +36,20 @@ def without(text: Column, characters: str) -> Column:
     return text
 
 
+def stripped(text: Column) -> Column:
+    """The text without white space at its ends."""
+    return F.btrim(text, F.lit(SPACES))
+
+
 def words_of(text: Column) -> Column:
     """Words of the text in order."""
-    return F.filter(F.split(text, SPACE_CLASS + "+"), lambda w: w != "")
+    inner = stripped(text)
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SPACE_CLASS + "+"))
 
 
 def count_words(text: Column) -> Column:
-    """Number of words, without building them one by one."""
-    runs = F.regexp_replace(text, WORD_CLASS + "+", "w")
-    return F.char_length(without(runs, SPACES)).cast("long")
+    """Number of words."""
+    return F.size(words_of(text)).cast("long")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -78,14 +82,16 @@ def range_partitions(spark: SparkSession, at_least: int = 1) -> int:
     return max(at_least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def in_ranges(df: DataFrame, order: Sequence[str], out: str = "part", ranges: int = 0) -> DataFrame:
+def in_ranges(df: DataFrame, order: Sequence[str | Column], out: str = "part", ranges: int = 0) -> DataFrame:
     """Rows dealt into ranges of ``order`` and written, each with the number of its range."""
     n = ranges or range_partitions(df.sparkSession)
     dealt = df.repartitionByRange(n, *order).withColumn(out, F.spark_partition_id())
     return written(dealt, "ranges")
 
 
-def running_offsets(ranged: DataFrame, order: Sequence[str], sums: dict[str, str], part: str = "part") -> DataFrame:
+def running_offsets(
+    ranged: DataFrame, order: Sequence[str | Column], sums: dict[str, str], part: str = "part"
+) -> DataFrame:
     """Add to each row of ``in_ranges`` the sums over all rows before it.
 
     ``sums`` maps a new column to the column that is summed. A range is summed on its own;
@@ -103,7 +109,3 @@ def running_offsets(ranged: DataFrame, order: Sequence[str], sums: dict[str, str
         .drop(*(f"_{k}" for k in sums))
     )
 
-
-def parts_for(n_bytes: float, each: float = 32e6, least: int = 1) -> int:
-    """Number of parts of about ``each`` bytes."""
-    return max(least, math.ceil(n_bytes / each))

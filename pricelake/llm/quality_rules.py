@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import SPACE_CLASS, SPACES, ascii_lower, whole_text, without, words_of
+from pricelake.llm.common import SPACE_CLASS, ascii_lower, stripped, whole_text, words_of, written
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -34,31 +34,44 @@ MAX_REMOVED = 0.7
 def measures(docs: DataFrame) -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words.
 
-    Windows of three words are compared by a 64-bit hash within their text: sorted by hash, a window
-    that equals a neighbour occurs twice or more; the words under such windows are counted once.
+    Windows of three words are compared by a 64-bit hash within their text. Only a text with equal
+    hashes goes on: its windows are sorted as numbers made of a hash's upper bits and the place,
+    neighbours with equal upper bits are compared by the full hash, and the words under windows
+    found twice or more are counted once.
     """
     text = whole_text()
-    lines = F.filter(F.split(text, "\n"), lambda x: F.char_length(without(x, SPACES)) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda x: stripped(x) != "")
     base = docs.withColumns({
         "_words": words_of(text),
-        "word_chars": F.char_length(without(text, SPACES)).cast("long"),
-        "n_symbols": (F.char_length(text) - F.char_length(without(text, SYMBOLS))).cast("long"),
+        "n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"),
         "_lines": lines,
     })
+    windows = F.transform(
+        F.sequence(F.lit(0), F.size("_words") - 3),
+        lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)),
+    )
     base = base.withColumns({
         "n_words": F.size("_words").cast("long"),
+        "word_chars": F.char_length(F.array_join("_words", "")).cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "_windows": F.when(
-            F.size("_words") > 2,
-            F.transform(
-                F.sequence(F.lit(0), F.size("_words") - 3),
-                lambda i: F.struct(
-                    F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)).alias("h"), i.alias("i")
-                ),
-            ),
-        ),
+        "_hashes": F.when(F.size("_words") > 2, windows),
     }).drop("_words", "_lines")
-    base = base.withColumn("_sorted", F.sort_array("_windows")).drop("_windows")
+    # null where no window repeats; places take as many of the lowest bits as they need
+    base = base.withColumn("_hashes", F.when(F.size(F.array_distinct("_hashes")) < F.size("_hashes"), F.col("_hashes")))
+    bits = F.length(F.bin(F.size("_hashes"))).cast("int")
+    base = base.withColumn("_mask", F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
+    base = base.withColumn(
+        "_packed", F.sort_array(F.transform("_hashes", lambda h, i: h.bitwiseAND(F.bitwise_not("_mask")).bitwiseOR(i)))
+    )
+
+    def alike(x: Column, y: Column) -> Column:
+        return F.coalesce(x.bitwiseXOR(y).bitwiseAND(F.bitwise_not("_mask")) == 0, F.lit(False))
+
+    near = F.filter("_packed", lambda x, k: alike(x, F.get("_packed", k - 1)) | alike(x, F.get("_packed", k + 1)))
+    place = F.transform(near, lambda x: x.bitwiseAND(F.col("_mask")).cast("int"))
+    base = base.withColumn("_places", place).drop("_packed", "_mask")
+    full = F.sort_array(F.transform("_places", lambda i: F.struct(F.get("_hashes", i).alias("h"), i.alias("i"))))
+    base = base.withColumn("_sorted", full).drop("_places", "_hashes")
 
     def repeated(x: Column, k: Column) -> Column:
         before, after = F.get("_sorted", k - 1)["h"], F.get("_sorted", k + 1)["h"]
@@ -74,25 +87,26 @@ def measures(docs: DataFrame) -> DataFrame:
     return base.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_sorted")
 
 
-def normal_line(line: Column) -> Column:
-    """A line as it is compared between documents."""
-    return F.trim(F.regexp_replace(ascii_lower(line), SPACE_CLASS + "+", " "))
+def normal_line(lowered: Column) -> Column:
+    """A lower-cased line as it is compared between documents: runs of white space are one space."""
+    return F.regexp_replace(stripped(lowered), f"{SPACE_CLASS}{{2,}}|[\\x09-\\x0D]", " ")
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
     """One row for each line with a word: its place, the hash of its normal form, its words."""
     text = whole_text()
-    split = docs.select("doc_id", "source", F.md5(text).alias("fp"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
-    line = split.select("doc_id", "source", "fp", "at", normal_line(F.col("line")).alias("line")).where("line <> ''")
+    split = docs.select(
+        "doc_id", "source", F.xxhash64(text).alias("fp"), F.posexplode(F.split(ascii_lower(text), "\n")).alias("at", "line")
+    )
+    line = split.withColumn("line", normal_line(F.col("line"))).where("line <> ''")
     words = F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     return line.select("doc_id", "source", "fp", "at", F.unhex(F.md5("line")).alias("line"), words.cast("long").alias("words"))
 
 
-def common_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """Lines above the limits: source, line, n_docs (distinct texts), first_doc."""
-    lines = document_lines(docs)
-    hosts = docs.groupBy("source").agg(F.count_distinct(F.md5(whole_text())).alias("host_docs"))
-    hosts = hosts.select(F.col("source").alias("_host"), "host_docs")
+def common_lines(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+    """Lines above the limits: source, line, n_docs (distinct texts), first_doc. lines: document_lines of docs."""
+    texts = docs.select("source", F.xxhash64(whole_text()).alias("fp")).distinct()
+    hosts = texts.groupBy(F.col("source").alias("_host")).agg(F.count(F.lit(1)).alias("host_docs"))
     # one row for each line and text, then one for each line
     counted = (
         lines.groupBy("source", "line", "fp").agg(F.min("doc_id").alias("first_doc"))
@@ -106,12 +120,12 @@ def common_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = M
 
 def removed_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """One row for each line that a document loses: doc_id, source, fp, at, line, words."""
-    common = common_lines(docs, min_docs, max_share).select(
+    lines = written(document_lines(docs), "lines")
+    common = common_lines(docs, lines, min_docs, max_share).select(
         F.col("source").alias("_host"), F.col("line").alias("_line"), "first_doc"
     )
     return (
-        document_lines(docs)
-        .join(common, (F.col("line") == F.col("_line")) & F.col("source").eqNullSafe(F.col("_host")))
+        lines.join(common, (F.col("line") == F.col("_line")) & F.col("source").eqNullSafe(F.col("_host")))
         .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
         .select("doc_id", "source", "fp", "at", "line", "words")
         .dropDuplicates(["doc_id", "source", "fp", "at"])  # rows that repeat a document
@@ -128,7 +142,7 @@ def judge(
     lost = removed_lines(docs, min_docs, max_share).groupBy("doc_id", "source", "fp").agg(F.sum("words").alias("removed_words"))
     lost = lost.withColumnsRenamed({"doc_id": "_id", "source": "_host", "fp": "_fp"})
     same = (F.col("fp") == F.col("_fp")) & F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_host"))
-    measured = measures(docs.withColumn("fp", F.md5(whole_text())))
+    measured = measures(docs.withColumn("fp", F.xxhash64(whole_text())))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     out = measured.join(lost, same, "left").drop("fp", "_id", "_host", "_fp")
     out = out.withColumn("removed_words", F.coalesce("removed_words", F.lit(0)).cast("long"))
@@ -139,7 +153,7 @@ def judge(
 def clean_texts(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """doc_id, source, text of every document that has a line, without the removed lines."""
     text = whole_text()
-    split = docs.select("doc_id", "source", F.md5(text).alias("fp"), F.posexplode(F.split(text, "\n")).alias("at", "text"))
+    split = docs.select("doc_id", "source", F.xxhash64(text).alias("fp"), F.posexplode(F.split(text, "\n")).alias("at", "text"))
     lost = removed_lines(docs, min_docs, max_share).select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_host"), F.col("fp").alias("_fp"), F.col("at").alias("_at")
     )

@@ -6,9 +6,8 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from pricelake.llm import exact_dedup, quality_rules
+from pricelake.llm import exact_dedup, quality_rules, source_mix
 from pricelake.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +89,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_source_mix")
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = source_mix.mix(table(spark, sf_dir, "documents")).documents
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query(
     "op10_exact_dedup",
     """
