@@ -6,8 +6,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pricelake.llm import exact_dedup, quality_rules, source_mix
+from pricelake.llm import exact_dedup, pii, quality_rules, source_mix
 from pricelake.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +33,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 @query(
     "op5_quality_rules",
     rf"""
