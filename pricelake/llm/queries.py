@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import exact_dedup, pii, quality_rules, source_mix
+from pricelake.llm import exact_dedup, near_dedup, pii, quality_rules, source_mix
 from pricelake.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +107,40 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query(
+    "op8_minhash_forest",
+    r"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x20\x09-\x0D]+') AS w
+      FROM documents
+    ), shingles AS (
+      SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+    ), sizes AS (
+      SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), shared AS (
+      SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+      FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+      GROUP BY x.doc_id, y.doc_id
+    ), links AS (
+      SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+      WHERE 100 * common >= 85 * (x.n + y.n - common)
+    ), reach(a, b) AS (
+      SELECT doc_id, doc_id FROM documents
+      UNION
+      SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+    )
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(b) AS component_id, d.doc_id = min(b) AS kept
+    FROM d LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.a = d.doc_id
+    GROUP BY d.doc_id, n
+    """,
+)
+def op8_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op10_exact_dedup",
     """
