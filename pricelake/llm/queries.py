@@ -8,7 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import exact_dedup, near_dedup, pii, quality_rules, source_mix
+from pricelake.llm import exact_dedup, near_dedup, packing, pii, quality_rules, source_mix, token_files
+from pricelake.llm.common import shared_folder
 from pricelake.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +45,19 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "token-files")
+    token_files.write_files(table(spark, sf_dir, "documents"), folder)
+    return token_files.read_files(spark, folder, with_ids=False)
+
+
 @query(
     "op5_quality_rules",
     rf"""
