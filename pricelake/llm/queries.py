@@ -8,7 +8,17 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm import exact_dedup, near_dedup, packing, pii, quality_rules, source_mix, token_files
+from pricelake.llm import (
+    exact_dedup,
+    html_text,
+    near_dedup,
+    packing,
+    pii,
+    quality_rules,
+    source_mix,
+    token_files,
+    url_rules,
+)
 from pricelake.llm.common import shared_folder
 from pricelake.session import configure
 
@@ -34,6 +44,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(
+    "op1_url_rules",
+    r"""
+    WITH u AS (
+      SELECT page_id,
+             translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+      FROM pages
+    ), ruled AS (
+      SELECT *, CASE
+          WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+          WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+          WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+          WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+          WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/'
+        END AS rule
+      FROM u
+    )
+    SELECT page_id, host, path, rule, CASE
+        WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+        WHEN rule IS NOT NULL THEN 'block'
+        WHEN regexp_matches(host, '(^|[^A-Za-z0-9])(cheap-pills|casino-win|free-bets|spam-farm|ads-track)($|[^A-Za-z0-9])') THEN 'block'
+        ELSE 'allow' END AS verdict
+    FROM ruled
+    """,
+)
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op2_pii")
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
@@ -115,6 +156,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_html_text")
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query("op7_source_mix")
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix(table(spark, sf_dir, "documents")).documents
