@@ -17,6 +17,7 @@ from pricelake.llm import (
     quality_rules,
     source_mix,
     token_files,
+    toxicity,
     url_rules,
 )
 from pricelake.llm.common import shared_folder
@@ -202,6 +203,12 @@ def op8_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query(
     "op10_exact_dedup",
     """
