@@ -52,6 +52,11 @@ def count_words(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
 
 
+def carried(docs: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns, and whole rows as ``_row``, so that no other column's name can clash."""
+    return docs.select(*needed, F.struct(*docs.columns).alias("_row"))
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder that the driver and all executors see; it goes when the driver ends.
 

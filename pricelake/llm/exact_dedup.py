@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import ascii_lower, shared_folder, whole_text, written
+from pricelake.llm.common import ascii_lower, carried, shared_folder, whole_text, written
 
 #: Texts that one bucket may hold before it splits.
 CAPACITY = 20_000
@@ -127,5 +127,6 @@ def drop_duplicates(docs: DataFrame, capacity: int = CAPACITY, max_depth: int =
         .distinct()
     )
     digest = F.sha2(ascii_lower(whole_text()), 256)
-    keyed = docs.withColumn("_of", digest)
-    return keyed.join(gone, (F.col("_of") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").drop("_of")
+    keyed = carried(docs, "doc_id", "text").withColumn("_of", digest)
+    same = (F.col("_of") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return keyed.join(gone, same, "left_anti").select("_row.*")

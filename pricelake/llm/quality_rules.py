@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import SPACE_CLASS, ascii_lower, stripped, whole_text, words_of, written
+from pricelake.llm.common import SPACE_CLASS, ascii_lower, carried, stripped, whole_text, words_of, written
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -150,6 +150,12 @@ def judge(
     return out.withColumns({"base_failed": failed, "depleted": depleted, "kept": ~failed & ~depleted})
 
 
+def keep_good(docs: DataFrame, **settings) -> DataFrame:
+    """The documents that are kept, with their own columns and whole texts."""
+    rows = carried(docs, "doc_id", "source", "text")
+    return judge(rows, **settings).where("kept").select("_row.*")
+
+
 def clean_texts(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """doc_id, source, text of every document that has a line, without the removed lines."""
     text = whole_text()

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import count_words, in_ranges, running_offsets, whole_text, written
+from pricelake.llm.common import carried, count_words, in_ranges, running_offsets, whole_text, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -147,4 +147,5 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
         F.round(F.col("taken") / F.col("size")).cast("int").alias("_copies"),
     ).where("_copies > 0")
     same = (F.xxhash64(whole_text()) == F.col("_fp")) & F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    return docs.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    rows = carried(docs, "doc_id", "source", "text")
+    return rows.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")
