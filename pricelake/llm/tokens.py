@@ -18,7 +18,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces that a worker remembers before it starts anew.
-MEMORY = 1_200_000
+MEMORY = 1_300_000
+#: Pieces in one call of the tokenizer: its results take much more memory than ids.
+_AT_ONCE = 10_000
 # White space of the tokenizer's own splitting pattern (Unicode), as a character class.
 _SPACE = "\t-\r \x85\xa0  -     　"
 _PIECE = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
@@ -37,20 +39,42 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # the same steps without special tokens, which are ordinary text here
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = self.tokenizer.pre_tokenizer
+        if self.tokenizer.normalizer is not None:
+            self.plain.normalizer = self.tokenizer.normalizer
+        mark = self.tokenizer.encode("\x02", add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 and mark[0] not in self.tokenizer.encode("a", add_special_tokens=False).ids else None
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.ids = np.zeros(1 << 20, np.uint32)
         self.used = 0
         self.begin = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int32)
 
-    def _learn(self, pieces: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(list(map(_piece, pieces)), add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int32, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-        n, used = len(self.place), self.used
+    def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces and how many each has; pieces go in as the words of few inputs, with a mark behind each."""
+        words = list(map(_piece, pieces.to_pylist()))
+        if self.mark is None or any("\x02" in w for w in words):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+        marked = ["\x02"] * (2 * len(words))
+        marked[::2] = words
+        groups = [marked[i : i + 400] for i in range(0, len(marked), 400)]
+        found = self.plain.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in found])
+        ends = ids == self.mark
+        return ids[~ends], np.diff(np.flatnonzero(ends), prepend=-1) - 1
+
+    def _learn(self, pieces: pa.Array) -> None:
+        """Encode new pieces and keep their ids."""
+        parts = [self._encode(pieces[i : i + _AT_ONCE]) for i in range(0, len(pieces), _AT_ONCE)]
+        flat, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+        n, used = len(self.known), self.used
         while n + len(pieces) > len(self.begin):
             self.begin, self.size = np.concatenate([self.begin, self.begin]), np.concatenate([self.size, self.size])
         while used + len(flat) > len(self.ids):
@@ -59,18 +83,20 @@ class PieceEncoder:
         self.begin[n : n + len(pieces)] = used + np.cumsum(sizes) - sizes
         self.size[n : n + len(pieces)] = sizes
         self.used += len(flat)
-        self.place.update(zip(pieces, range(n, n + len(pieces)), strict=True))
-
-    def _places(self, pieces: list[str]) -> np.ndarray:
-        places = list(map(self.place.get, pieces))
-        new = [p for p, at in zip(pieces, places, strict=True) if at is None]
-        if new:
-            if len(self.place) + len(new) > MEMORY:
-                self.clear()
-                new = pieces
+        self.known = pa.concat_arrays([self.known, pieces])
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where distinct pieces are in the memory; new ones are learned."""
+        at = pc.index_in(pieces, value_set=self.known)
+        new = pieces.filter(pc.is_null(at))
+        if len(new) and len(self.known) and len(self.known) + len(new) > MEMORY:
+            self.clear()
+            return self._places(pieces)
+        at = at.to_numpy(zero_copy_only=False).astype(np.float64)
+        if len(new):
+            at[np.isnan(at)] = np.arange(len(self.known), len(self.known) + len(new))
             self._learn(new)
-            places = map(self.place.__getitem__, pieces)
-        return np.fromiter(places, np.int64, len(pieces))
+        return at.astype(np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each text has."""
@@ -82,22 +108,21 @@ class PieceEncoder:
         split = pc.split_pattern(pc.replace_substring(marked, "\n", " \x00"), " ")
         coded = pc.dictionary_encode(split.flatten())
         coded = coded if isinstance(coded, pa.DictionaryArray) else coded.combine_chunks()
-        distinct = coded.dictionary.to_pylist()
         counts = np.zeros(len(texts), np.int64)
         counts[regular] = pc.list_value_length(split).to_numpy()
         order = np.zeros(0, np.int64)
-        if distinct:
-            order = self._places(distinct)[coded.indices.to_numpy()]
+        if len(coded):
+            order = self._places(coded.dictionary)[coded.indices.to_numpy()]
         if irregular.any():
             order, counts = self._with_irregular(texts, np.flatnonzero(irregular), order, counts)
         return self._gather(order, counts)
 
     def _with_irregular(self, texts, at, order, counts):
         cut = {int(i): ["\x02" + p for p in _PIECE.findall(texts[i])] for i in at}
-        known = dict.fromkeys(p for pieces in cut.values() for p in pieces)
-        before = len(self.place)
-        places = dict(zip(known, self._places(list(known)).tolist(), strict=True))
-        if len(self.place) < before:  # the memory started anew: encode the batch on its own
+        distinct = list(dict.fromkeys(p for pieces in cut.values() for p in pieces))
+        before = len(self.known)
+        places = dict(zip(distinct, self._places(pa.array(distinct, pa.large_string())).tolist(), strict=True))
+        if len(self.known) < before:  # the memory started anew: encode the batch on its own
             raise MemoryStartedAnew
         parts, done = [], 0
         for i in range(len(texts)):
@@ -142,7 +167,7 @@ def encode_batch(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return encoder.encode(texts)
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", characters: int = 16_000_000):
+def slices(batch: pa.RecordBatch, text: str = "text", characters: int = 4_000_000):
     """Slices of a batch with about so many characters, at least one row each; and their texts."""
     texts = batch.column(text).to_pylist()
     at, size = 0, 0
