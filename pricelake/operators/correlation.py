@@ -110,6 +110,20 @@ def correlation_matrix(long: DataFrame, symbols: list[str] | None = None) -> Dat
     return pivoted.agg(F.first("correlation"))
 
 
+def benchmark_correlation(
+    metrics: DataFrame, *, benchmark: str, lookback_days: int = 365, as_of=None
+) -> DataFrame:
+    """(other, symbol, correlation) with one symbol: as ``correlation_long``, without the other pairs."""
+    recent = _aligned_returns(metrics, lookback_days, as_of)
+    own = recent.where(F.col("symbol") == benchmark).select("date", F.col("daily_return").alias("_own"))
+    return (
+        recent.join(own, "date")
+        .groupBy("symbol")
+        .agg(F.corr("daily_return", "_own").alias("correlation"))
+        .select(F.lit(benchmark).alias("other"), "symbol", "correlation")
+    )
+
+
 def correlation_extremes(long: DataFrame, *, benchmark: str) -> DataFrame:
     """Strongest and weakest correlation with the benchmark by absolute value. One row."""
     size = F.abs("correlation")

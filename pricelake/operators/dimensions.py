@@ -28,7 +28,8 @@ def dim_asset(
     """One row per (symbol, asset_type, source), described by the catalog.
 
     Without ``existing`` ids are row numbers by symbol. With it, known symbols keep their
-    id and new ones continue after the highest, so facts that hold old ids stay valid.
+    id, also when silver no longer holds them, and new ones continue after the highest: no
+    id is ever given twice, so facts that hold old ids stay valid.
     """
     seen = silver.select("symbol", "asset_type", "source").distinct()
     ohlcv, close_only = PRICE_COMPLETENESS
@@ -40,10 +41,14 @@ def dim_asset(
     if existing is None:
         numbered = number_rows(typed, order, "asset_id")
     else:
-        ids = existing.select("asset_id", *key)
+        old = existing.select("asset_id", *key, F.col("asset_type_id").alias("_old_type"))
+        current = types.withColumnRenamed("name", "asset_type")
+        ids = old.join(current, "asset_type", "left").select(
+            "asset_id", *key, F.coalesce("asset_type_id", "_old_type").alias("asset_type_id")
+        )
         after = F.coalesce(existing.agg(F.max("asset_id")).scalar(), F.lit(0)) + 1
-        fresh = number_rows(typed.join(ids, key, "left_anti"), order, "asset_id", start=after)
-        numbered = typed.join(ids, key).unionByName(fresh)
+        fresh = number_rows(typed.join(ids.select(*key), key, "left_anti"), order, "asset_id", start=after)
+        numbered = ids.select(*fresh.columns).unionByName(fresh)
     described = catalog.select("symbol", "name", "base_ccy", "price_completeness")
     return numbered.join(described, "symbol", "left").select(
         "asset_id",

@@ -6,53 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_BUCKETS = 64
-_SAMPLE_PER_BUCKET = 16
-# Up to this many rows one task sorts them; the size is checked, not assumed.
-SMALL_TABLE_ROWS = 200_000
+_SAMPLE_PER_RANGE = 16
 
 
 def number_rows(
-    df: DataFrame,
-    order: list[Column],
-    out: str,
-    *,
-    start: Column | int = 1,
-    small: int = SMALL_TABLE_ROWS,
+    df: DataFrame, order: list[Column], out: str, *, start: Column | int = 1, ranges: int | None = None
 ) -> DataFrame:
-    """Number the rows 1..n by ``order`` (ascending, must be unique per row).
+    """Number the rows 1..n by ``order`` (ascending, must be unique per row), without one task sorting them.
 
-    Counts the rows first: a table of at most ``small`` is numbered by one window, a larger
-    one in ranges (``number_rows_in_ranges``).
-    """
-    if df.count() > small:
-        return number_rows_in_ranges(df, order, out, start=start)
-    first = start if isinstance(start, Column) else F.lit(start)
-    place = F.row_number().over(W.orderBy(*order))
-    return df.withColumn(out, place.cast("long")).withColumn(
-        out, F.col(out) + first.cast("long") - 1
-    )
-
-
-def number_rows_in_ranges(
-    df: DataFrame, order: list[Column], out: str, *, start: Column | int = 1
-) -> DataFrame:
-    """Number the rows 1..n without sorting them in one task.
-
-    The rows are split into key ranges at boundaries drawn from a hash sample of bounded
-    size (so every evaluation finds the same boundaries), numbered inside each range, and
-    shifted by the number of rows in earlier ranges. Everything sent to all tasks is at
-    most 64 values.
+    The rows are split into ``ranges`` key ranges (the session's shuffle partitions by default) at boundaries
+    drawn from a hash sample of bounded size (so every evaluation finds the same boundaries), numbered inside
+    each range, and shifted by the number of rows in earlier ranges. Nothing runs while the plan is built, and
+    what is sent to all tasks is one boundary and one count for each range. The keys must not change from one
+    evaluation to the next: round sums of doubles before ordering by them.
     """
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn("_key", F.struct(*order))
     sample = (
         keyed.select("_key", F.xxhash64("_key").alias("_h"))
         .orderBy("_h", "_key")
-        .limit(_BUCKETS * _SAMPLE_PER_BUCKET)
+        .limit(ranges * _SAMPLE_PER_RANGE)
         .agg(F.array_sort(F.collect_list("_key")).alias("s"))
     )
     bounds = sample.select(
-        F.filter("s", lambda _, i: (i + 1) % _SAMPLE_PER_BUCKET == 0)
+        F.filter("s", lambda _, i: (i + 1) % _SAMPLE_PER_RANGE == 0)
     ).scalar()
     ranged = keyed.withColumn("_bounds", bounds).withColumn(
         "_range", F.size(F.filter("_bounds", lambda b: b < F.col("_key")))

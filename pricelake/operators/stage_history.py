@@ -85,7 +85,7 @@ def labelled(log: DataFrame) -> DataFrame:
 
 def display_label(label: Column) -> Column:
     shown = F.when(
-        label.startswith("daily-"), F.concat(F.lit("Daily run · "), F.substring(label, 7, 1000))
+        label.startswith("daily-"), F.concat(F.lit("Daily run · "), F.substr(label, F.lit(7)))
     )
     for old, new in LABEL_ALIASES.items():
         shown = shown.when(label == old, new)

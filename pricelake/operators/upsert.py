@@ -12,14 +12,14 @@ from pricelake.sources.versioned import MonthlyTable
 def latest_in_batch(
     batch: DataFrame, keys: list[str], newer_by: str, arrival: list[str] | None = None
 ) -> DataFrame:
-    """One row per key: newest ``newer_by``; among equals the first to arrive.
+    """One row per key: newest ``newer_by``; among equals the first by the ``arrival`` columns.
 
-    Without ``arrival`` columns, equal rows are told apart by their own values, so the
+    Rows that are equal in these too are told apart by their own values, so the
     outcome does not depend on task order. An aggregation rather than a ranked window:
     copies of a hot key are combined before the shuffle.
     """
     rest = [c for c in batch.columns if c not in keys and c not in (arrival or [])]
-    tie = list(arrival) if arrival else [c for c in rest if c != newer_by]
+    tie = [*(arrival or []), *(c for c in rest if c != newer_by)]
     newest = batch.withColumn("_age", -F.unix_micros(F.col(newer_by).cast("timestamp")))
     return (
         newest.groupBy(*keys)

@@ -32,16 +32,17 @@ def volatility_summary(metrics: DataFrame, *, lookback_days: int = 365, as_of=No
     )
 
 
-def volatility_rank(vol: DataFrame, *, reference: str, numbering=number_rows) -> DataFrame:
+def volatility_rank(vol: DataFrame, *, reference: str) -> DataFrame:
     """Rank by deviation (largest first, unknown last), yearly percent, multiple of a symbol.
 
     The multiple is null for the reference itself and when it is absent or not positive.
+    Deviations are ordered to 12 decimals: their last digits depend on how rows were summed.
     """
     sigma = F.col("daily_return_stdev")
-    order = [sigma.isNull(), -sigma, F.col("symbol"), F.col("asset_type")]
+    order = [sigma.isNull(), -F.round(sigma, 12), F.col("symbol"), F.col("asset_type")]
     base = vol.where(F.col("symbol") == reference).agg(F.max("daily_return_stdev")).scalar()
     return (
-        numbering(vol, order, "rank")
+        number_rows(vol, order, "rank")
         .withColumn("_base", base)
         .select(
             "rank",

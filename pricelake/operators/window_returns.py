@@ -88,13 +88,16 @@ def returns_by_window(
     )
 
 
-def window_ordinal(window: Column) -> Column:
-    """Position in the canonical order; other windows come after it."""
-    place = F.array_position(F.array(*[F.lit(w) for w in WINDOW_ORDER]), window)
-    return F.when(place > 0, place).otherwise(len(WINDOW_ORDER) + 1).cast("int")
+def window_ordinal(window: Column, windows_days: dict[str, int] | None = None) -> Column:
+    """Position in the canonical order; other windows follow in the order they were asked for, then unknown ones."""
+    known = list(dict.fromkeys([*WINDOW_ORDER, *(windows_days or {})]))
+    place = F.array_position(F.array(*[F.lit(w) for w in known]), window)
+    return F.when(place > 0, place).otherwise(len(known) + 1).cast("int")
 
 
-def window_winners(returns: DataFrame, benchmark: str) -> DataFrame:
+def window_winners(
+    returns: DataFrame, benchmark: str, windows_days: dict[str, int] | None = None
+) -> DataFrame:
     """Best non-benchmark symbol of each window. Equal returns: first by symbol."""
     return (
         returns.where((F.col("symbol") != benchmark) & F.col("return").isNotNull())
@@ -106,7 +109,7 @@ def window_winners(returns: DataFrame, benchmark: str) -> DataFrame:
             ).alias("w")
         )
         .select(
-            window_ordinal(F.col("window")).alias("position"),
+            window_ordinal(F.col("window"), windows_days).alias("position"),
             "window",
             F.col("w.symbol").alias("winner"),
             F.col("w.return").alias("return"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricelake.functions.dates import latest
 from pricelake.operators.asof import asof_backward, asof_forward, last_value_at_or_before
 from pricelake.operators.correlation import (
+    benchmark_correlation,
     correlation_extremes,
     correlation_long,
     correlation_matrix,
@@ -306,7 +307,7 @@ def q_correlation_matrix(spark, sf_dir):
 )
 def q_corr_extremes(spark, sf_dir):
     rows = with_daily_returns(answer_prices(spark, sf_dir), by=["symbol"]).persist()
-    out = correlation_extremes(correlation_long(rows), benchmark=BENCHMARK)
+    out = correlation_extremes(benchmark_correlation(rows, benchmark=BENCHMARK), benchmark=BENCHMARK)
     return rounded(out, 8, "strongest_r", "weakest_r")
 
 
@@ -355,24 +356,19 @@ def q_vol_rank(spark, sf_dir):
         + _RANK_SQL.format(
             ref="P1",
             vol="""(SELECT symbol, asset_type, stddev_samp(daily_return) AS daily_return_stdev,
-      count(daily_return) AS n_obs FROM part_metrics WHERE date > DATE '1995-01-01'
-      AND daily_return IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1)""",
+      count(daily_return) AS n_obs FROM part_metrics
+      WHERE daily_return IS NOT NULL GROUP BY 1, 2)""",
         )
         + ")",
         "part_metrics",
     ),
 )
 def q_vol_rank_parts(spark, sf_dir):
-    """A ranking of many symbols, numbered in key ranges instead of one task."""
-    from pricelake.operators import volatility
-    from pricelake.operators.numbering import number_rows_in_ranges
+    """A ranking of many symbols."""
     from pricelake.plans.adapters import part_prices
 
     rows = with_daily_returns(part_prices(spark, sf_dir), by=["symbol"])
-    vol = volatility.volatility_summary(rows, lookback_days=10_000).where("n_obs > 1").persist()
-    return _rank_out(
-        volatility.volatility_rank(vol, reference="P1", numbering=number_rows_in_ranges)
-    )
+    return _rank_out(volatility_rank(volatility_summary(rows, lookback_days=10_000), reference="P1"))
 
 
 @query(

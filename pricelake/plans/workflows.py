@@ -8,6 +8,7 @@ executor repeats tasks of one step and nothing depends on cached state. Layout o
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from pricelake.operators.upsert import merge_into
 from pricelake.operators.volatility import volatility_summary
 from pricelake.operators.window_returns import returns_by_window
 from pricelake.schemas import BRONZE, WINDOW_DAYS
-from pricelake.sources.bronze import Written, read_bronze, write_bronze
+from pricelake.sources.bronze import TICK, Written, read_bronze, write_bronze
 from pricelake.sources.sinks import write_answer
 from pricelake.sources.stage_log import timed_stage
 from pricelake.sources.versioned import MonthlyTable, VersionedTable
@@ -44,6 +45,8 @@ class Settings:
     dca_months: int = 12
     dca_buy_day: int = 1
     lookback_days: int = 365
+    # columns of the wide correlation table, which is written for these symbols only
+    matrix_symbols: list[str] | None = None
 
 
 class Lake:
@@ -75,35 +78,49 @@ class Lake:
     # -- steps ----------------------------------------------------------------------------
 
     def ingest(self, rows: DataFrame, run: Run, *, as_of) -> int:
-        """Publish a normalised batch to bronze, merge it into silver, pass the quality gate."""
+        """Publish a normalised batch to bronze, merge it into silver, pass the quality gate.
+
+        The rows are stamped with the run's id. Bronze keeps every tick of a day, in silver the
+        first one is the day's close.
+        """
         bronze = self.path("bronze")
+        columns = [*BRONZE.fieldNames(), *([TICK] if TICK in rows.columns else [])]
+        stamped = rows.withColumn("run_id", F.lit(run.run_id)).select(*columns)
 
         def publish(meta: dict) -> Written:
-            done = write_bronze(rows.select(*BRONZE.fieldNames()), bronze)
+            done = write_bronze(stamped, bronze)
             meta["rows"] = done.rows
             return done
 
-        written = self._timed("ingest:bronze", publish, run.run_id)
-        if not written.rows:
-            return 0
-        batch = read_bronze(self.spark, bronze, written).where(F.col("run_id") == run.run_id)
-        counts = rows_by_source(batch).select(
-            F.explode(F.from_json("rows_by_source", "map<string,bigint>"))
-        )
-        for r in counts.collect():
-            run.add_rows(r["key"], r["value"])
-
-        def merge(meta: dict) -> int:
-            merged = merge_into(self.silver, batch.select(*BRONZE.fieldNames()))
+        def load(meta: dict) -> int:
+            written = self._timed("ingest:bronze", publish, run.run_id)
+            if not written.rows:
+                return 0
+            meta["start_date"], meta["end_date"] = str(written.first_date), str(written.last_date)
+            batch = read_bronze(self.spark, bronze, written).where(F.col("run_id") == run.run_id)
+            counts = rows_by_source(batch).select(
+                F.explode(F.from_json("rows_by_source", "map<string,bigint>"))
+            )
+            for r in counts.collect():
+                run.add_rows(r["key"], r["value"])
+            merged = merge_into(self.silver, batch.select(*BRONZE.fieldNames(), TICK), arrival=[TICK])
             meta["silver_rows_merged"] = merged
-            return meta["silver_rows_merged"]
-
-        merged = self._timed("ingest:total", merge, run.run_id)
-        self._timed("ingest:dq_assertions", lambda _: self.check(as_of, run.run_id), run.run_id)
+            if merged != written.rows:
+                raise RuntimeError(f"bronze holds {merged} rows of the batch, {written.rows} were written")
+            return merged
+
+        merged = self._timed("ingest:total", load, run.run_id)
+        if merged:
+            self._timed(
+                "ingest:dq_assertions", lambda meta: self.check(as_of, run.run_id, meta), run.run_id
+            )
         return merged
 
-    def check(self, as_of, run_id: str | None = None) -> None:
-        """Record the silver checks, then raise if one of severity error failed."""
+    def check(self, as_of, run_id: str | None = None, meta: dict | None = None) -> None:
+        """Record the silver checks, then raise if one of severity error failed.
+
+        The counts of the checks (one row each) go into ``meta`` before anything is raised.
+        """
         s = self.settings
         history = self.path("meta", "quality")
         report = quality.silver_report(
@@ -113,8 +130,11 @@ class Lake:
             high=s.close_high,
             max_lag_days=s.max_lag_days,
         ).persist()
-        quality.record_report(report, history, run_id=run_id)
         try:
+            for line in report.collect():
+                found = json.loads(line["details"])
+                (meta if meta is not None else {}).update({k: v for k, v in found.items() if isinstance(v, int)})
+            quality.record_report(report, history, run_id=run_id)
             quality.enforce(report)
         finally:
             report.unpersist()
@@ -148,7 +168,6 @@ class Lake:
         if newest is None:
             return []
         end = as_of or newest
-        correlations = correlation_long(metrics, lookback_days=s.lookback_days, as_of=end).persist()
         answers = {
             "returns_by_window": returns_by_window(
                 metrics, prices, benchmark=s.benchmark, windows_days=s.windows_days, as_of=end
@@ -167,17 +186,19 @@ class Lake:
             "volatility_summary": volatility_summary(
                 metrics, lookback_days=s.lookback_days, as_of=end
             ),
-            "correlation_long": correlations,
-            "correlation_matrix": correlation_matrix(correlations),
+            "correlation_long": correlation_long(metrics, lookback_days=s.lookback_days, as_of=end),
         }
         order = {
             "returns_by_window": ["window", "symbol"],
             "volatility_summary": ["symbol"],
-            "correlation_matrix": ["symbol"],
         }
         for name, df in answers.items():
             write_answer(df, self.path("answers"), name, order.get(name))
-        correlations.unpersist()
+        if s.matrix_symbols:
+            stored = self.spark.read.parquet(self.path("answers", "correlation_long", "parquet"))
+            wide = correlation_matrix(stored, s.matrix_symbols)
+            write_answer(wide, self.path("answers"), "correlation_matrix", ["symbol"])
+            answers["correlation_matrix"] = wide
         return list(answers)
 
     def run(
@@ -189,7 +210,7 @@ class Lake:
         as_of,
         calendar: DataFrame | None = None,
     ) -> list[str]:
-        """One tracked run of all three steps. ``rows`` carry ``run_id`` themselves."""
+        """One tracked run of all three steps; ``rows`` get the run's id."""
         with track_run(self.spark, self.path("meta", "runs"), run_id) as run:
             self.ingest(rows, run, as_of=as_of)
             self._timed("transform:total", lambda _: self.transform(catalog, calendar), run_id)

@@ -42,11 +42,3 @@ def build(master: str | None = None, app: str = "pricelake", **conf: str) -> Spa
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Return the shared checkpoint folder; ``fallback`` is used only where none is set."""
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    folder = current or fallback
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder

@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pricelake.operators.upsert import merge_into
 from pricelake.schemas import BRONZE
+from pricelake.sources.bronze import STORED, TICK
 from pricelake.sources.versioned import MonthlyTable
 
 
 def stream_bronze(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
     """Bronze rows of files that have not been read yet."""
-    stored = T.StructType([*BRONZE.fields, T.StructField("ingested_date", T.DateType())])
-    reader = spark.readStream.schema(stored)
+    reader = spark.readStream.schema(STORED)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(root)
@@ -31,8 +30,8 @@ def merge_available(
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        rows = batch.select(*BRONZE.fieldNames()).persist()
-        merge_into(table, rows)
+        rows = batch.select(*BRONZE.fieldNames(), TICK).persist()
+        merge_into(table, rows, arrival=[TICK])
         rows.unpersist()
 
     return (

@@ -18,7 +18,7 @@ from pricelake.operators.correlation import correlation_long
 from pricelake.operators.dex import human_amount, swap_price, top_pairs
 from pricelake.operators.dimensions import dim_date
 from pricelake.operators.metrics import add_metrics, rolling_returns
-from pricelake.operators.numbering import number_rows, number_rows_in_ranges
+from pricelake.operators.numbering import number_rows
 from pricelake.operators.quality import (
     QualityGateError,
     calendar_gaps,
@@ -117,19 +117,37 @@ def test_metrics_use_one_shuffle_by_asset(spark, tmp_path, gappy):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_labels_are_shown_whole(spark):
+    from pricelake.operators.stage_history import display_label
+
+    long = "daily-" + "x" * 1200
+    shown = spark.createDataFrame([(long,)], "label string").select(display_label(F.col("label"))).first()[0]
+    assert shown.endswith("x" * 1200)
+
+
+def test_custom_windows_keep_their_order(spark):
+    rows = [{"window": w, "symbol": "A", "return": 0.1, "btc_return": 0.0, "beats_btc": True} for w in ("2w", "9d", "1y")]
+    winners = window_winners(spark.createDataFrame(rows), "BTC", {"9d": 9, "2w": 14}).collect()
+    assert [r["window"] for r in sorted(winners, key=lambda r: r["position"])] == ["1y", "9d", "2w"]
+    assert len({r["position"] for r in winners}) == 3
+
+
 def test_numbering_in_ranges_equals_window(spark):
     rng = random.Random(3)
     keys = rng.sample(range(10**6), 5000)
     df = spark.createDataFrame([(f"S{k:07d}", k) for k in keys], "symbol string, k long")
-    ranged = number_rows_in_ranges(df, [F.col("symbol")], "id").collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    plan = number_rows(df, [F.col("symbol")], "id", ranges=16)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == jobs  # building it runs nothing
+    ranged = plan.collect()
     assert {r["symbol"]: r["id"] for r in ranged} == {
         f"S{k:07d}": i for i, k in enumerate(sorted(keys), 1)
     }
-    down = number_rows(df, [-F.col("k")], "id", start=11, small=10).collect()
+    down = number_rows(df, [-F.col("k")], "id", start=11).collect()
     assert {r["k"]: r["id"] for r in down} == {
         k: i for i, k in enumerate(sorted(keys, reverse=True), 11)
     }
-    assert number_rows_in_ranges(df.limit(0), [F.col("symbol")], "id").count() == 0
+    assert number_rows(df.limit(0), [F.col("symbol")], "id").count() == 0
 
 
 @pytest.mark.parametrize("forward", [True, False])

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from pricelake.plans.registry import ORACLES, QUERIES
 from tests.compare import difference, duck, rows_of_duck, rows_of_spark
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -18,11 +19,15 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    got = rows_of_spark(queries()[name](spark, SF_DIR))
+    got = rows_of_spark(QUERIES[name](spark, SF_DIR))
     spark.catalog.clearCache()
-    assert difference(got, rows_of_duck(con, oracle_sql()[name])) is None
+    assert difference(got, rows_of_duck(con, ORACLES[name])) is None
+
+
+def test_entry_has_all_queries():
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):

@@ -9,13 +9,17 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricelake.operators.ingest_window import ingest_window, ingest_window_per_symbol
 from pricelake.operators.quality import QualityGateError
+from pricelake.operators.run_history import track_run
+from pricelake.operators.stage_history import ingest_windows, run_kpis
 from pricelake.operators.upsert import merge_into, upsert
 from pricelake.plans.workflows import Lake, Settings
 from pricelake.schemas import ASSET_CATALOG, BRONZE
 from pricelake.sources.bronze import write_bronze
+from pricelake.sources.stage_log import read_stage_log
 from pricelake.sources.versioned import MonthlyTable, VersionedTable
 from pricelake.streaming.bronze_to_silver import merge_available, stream_bronze
 from tests.conftest import bronze_row, utc
@@ -193,7 +197,7 @@ def test_lake_end_to_end(spark, tmp_path):
     catalog = spark.createDataFrame([("BTC", "Bitcoin", "USD", "close_volume_only")], ASSET_CATALOG)
     first = frame(spark, *daily_rows(400, "run1", utc(2025, 2, 5)))
     names = lake.run(first, catalog, run_id="run1", as_of="2025-02-03")
-    assert set(names) >= {"returns_by_window", "dca_vs_lump", "correlation_matrix"}
+    assert set(names) >= {"returns_by_window", "dca_vs_lump", "correlation_long"}
     returns = spark.read.parquet(lake.path("answers", "returns_by_window", "parquet"))
     assert returns.count() == 12
 
@@ -228,6 +232,45 @@ def test_lake_end_to_end(spark, tmp_path):
     history = spark.read.parquet(lake.path("meta", "quality"))
     assert history.where("not passed").count() == 1
 
+    # the lake's own log tells the issues of the failed run and the dates of each ingest
+    log = read_stage_log(spark, lake.path("meta", "stages"))
+    kpis = {r["run_label"]: r for r in run_kpis(log).collect()}
+    assert kpis["run3"]["dq_issues"] == 1 and kpis["run3"]["errors"] == 1 and kpis["run1"]["dq_issues"] == 0
+    assert kpis["run1"]["silver_rows"] == first.count()
+    windows = {r["run_label"]: (r["start_date"], r["end_date"]) for r in ingest_windows(log).collect()}
+    assert windows["run1"] == ("2024-01-01", "2025-02-03") and windows["run3"] == ("2025-02-04", "2025-02-04")
+
+
+def ticks(spark, run_id="r1"):
+    """Three ticks of one day, in the order they were made: 50, 40, 60."""
+    rows = [(*bronze_row("BTC", DAY, close, utc(2025, 1, 12), run_id, "coingecko", "crypto"), ms) for ms, close in ((1, 50.0), (2, 40.0), (3, 60.0))]
+    return spark.createDataFrame(rows, T.StructType([*BRONZE.fields, T.StructField("ts_ms", T.LongType())]))
+
+
+def test_first_tick_of_a_day_is_its_close(spark, tmp_path, table):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    with track_run(spark, lake.path("meta", "runs"), "run1") as run:
+        # rows that carry another id get the run's own
+        assert lake.ingest(ticks(spark, "other"), run, as_of="2025-01-10") == 3
+    assert closes(lake.silver.read()) == {("BTC", DAY): 50.0}
+    assert spark.read.parquet(lake.path("bronze")).count() == 3
+    root = str(tmp_path / "bronze")
+    write_bronze(ticks(spark), root)
+    merge_available(stream_bronze(spark, root), table, str(tmp_path / "mark")).awaitTermination()
+    assert closes(table.read()) == {("BTC", DAY): 50.0}
+
+
+def test_retired_asset_ids_are_not_given_again(spark, tmp_path):
+    from pricelake.operators.dimensions import dim_asset, dim_asset_type
+
+    catalog = spark.createDataFrame([], ASSET_CATALOG)
+    stamp = utc(2025, 1, 12)
+    old = frame(spark, bronze_row("A", DAY, 1.0, stamp), bronze_row("B", DAY, 1.0, stamp))
+    first = dim_asset(old, dim_asset_type(old), catalog)
+    new = frame(spark, bronze_row("A", DAY, 1.0, stamp), bronze_row("C", DAY, 1.0, stamp))
+    second = dim_asset(new, dim_asset_type(new), catalog, first)
+    assert {r["symbol"]: r["asset_id"] for r in second.collect()} == {"A": 1, "B": 2, "C": 3}
+
 
 def test_analyse_without_prices_writes_nothing(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
