@@ -138,7 +138,11 @@ def judge(
     max_share: float = MAX_SHARE,
     max_removed: float = MAX_REMOVED,
 ) -> DataFrame:
-    """All columns of the documents with the measures, removed_words, base_failed and kept."""
+    """All columns of the documents with the measures, removed_words, base_failed and kept.
+
+    To filter by a verdict write the result first, as ``keep_good`` does: a filter that Spark pushes below
+    the measures repeats their expressions.
+    """
     lost = removed_lines(docs, min_docs, max_share).groupBy("doc_id", "source", "fp").agg(F.sum("words").alias("removed_words"))
     lost = lost.withColumnsRenamed({"doc_id": "_id", "source": "_host", "fp": "_fp"})
     same = (F.col("fp") == F.col("_fp")) & F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_host"))
@@ -151,9 +155,12 @@ def judge(
 
 
 def keep_good(docs: DataFrame, **settings) -> DataFrame:
-    """The documents that are kept, with their own columns and whole texts."""
+    """The documents that are kept, with their own columns and whole texts.
+
+    The verdicts are written first: pushed below the measures, the filter would repeat them.
+    """
     rows = carried(docs, "doc_id", "source", "text")
-    return judge(rows, **settings).where("kept").select("_row.*")
+    return written(judge(rows, **settings).select("_row", "kept"), "judged").where("kept").select("_row.*")
 
 
 def clean_texts(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
