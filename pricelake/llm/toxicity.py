@@ -256,9 +256,10 @@ def score(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> DataF
     """doc_id, held_out, score, predicted, spans (start and end of toxic words, in code points) of every document."""
     field = fit(docs, labels, fit_docs)
     rows = docs.select(F.col("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    none = F.array().cast("array<struct<start:int,end:int>>").alias("spans")
+    harmless = rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), none)
     if field is None:
-        none = F.array().cast("array<struct<start:int,end:int>>")
-        return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), none.alias("spans"))
+        return harmless
     sent = docs.sparkSession.sparkContext.broadcast(field)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -277,5 +278,4 @@ def score(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> DataF
                     ["doc_id", "held_out", "score", "predicted", "spans"],
                 )
 
-    schema = rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
-    return rows.mapInArrow(apply, schema.add("spans", "array<struct<start:int,end:int>>"))
+    return rows.mapInArrow(apply, harmless.schema)
