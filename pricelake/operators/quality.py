@@ -267,28 +267,23 @@ def enforce(report: DataFrame) -> None:
 
 
 def quality_rollup(results: DataFrame) -> DataFrame:
-    """Per test: runs, failures, summed integer details and the stale symbols seen."""
+    """Per test: runs, failures and summed integer details."""
 
     def total(key: str) -> Column:
         # only JSON integers count, as text they have neither quotes nor a fraction
         raw = F.get_json_object("details", f"$.{key}")
         return F.coalesce(F.sum(raw.try_cast("bigint")), F.lit(0).cast("long")).alias(key)
 
-    counts = results.groupBy("test_name").agg(
+    return results.groupBy("test_name").agg(
         F.count(F.lit(1)).alias("runs"),
         F.count_if(~F.col("passed")).alias("failures"),
         total("duplicate_keys"),
         total("null_close_rows"),
         total("out_of_range_rows"),
     )
-    # distinct before collecting: a list holds each symbol once, however many runs saw it
+
+
+def stale_by_test(results: DataFrame) -> DataFrame:
+    """(test_name, symbol) of the symbols that a history lists as stale, one row each."""
     listed = F.from_json(F.get_json_object("details", "$.stale_symbols"), "array<string>")
-    stale = (
-        results.select("test_name", F.explode(listed).alias("symbol"))
-        .distinct()
-        .groupBy("test_name")
-        .agg(F.array_join(F.array_sort(F.collect_list("symbol")), ",").alias("stale_symbols"))
-    )
-    return counts.join(stale, "test_name", "left").withColumn(
-        "stale_symbols", F.coalesce("stale_symbols", F.lit(""))
-    )
+    return results.select("test_name", F.explode(listed).alias("symbol")).distinct()

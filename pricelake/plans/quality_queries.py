@@ -15,6 +15,7 @@ from pricelake.operators.quality import (
     quality_rollup,
     recompute_differences,
     silver_report,
+    stale_by_test,
     source_freshness,
     stale_symbols,
 )
@@ -229,14 +230,22 @@ def q_source_freshness(spark, sf_dir):
     CAST(coalesce(sum(row_count) FILTER (WHERE event_type = 'click'), 0) AS BIGINT) AS duplicate_keys,
     CAST(coalesce(sum(row_count) FILTER (WHERE event_type = 'view'), 0) AS BIGINT) AS null_close_rows,
     CAST(coalesce(sum(row_count) FILTER (WHERE event_type = 'purchase'), 0) AS BIGINT)
-      AS out_of_range_rows,
-    coalesce((SELECT string_agg(DISTINCT s, ',' ORDER BY s) FROM (
-      SELECT unnest(['S' || dom, event_type]) AS s FROM quality i
-      WHERE i.test_name = q.test_name AND i.row_count > 0
-        AND i.event_type NOT IN ('click', 'view', 'purchase'))), '') AS stale_symbols
+      AS out_of_range_rows
   FROM quality q GROUP BY test_name""",
         "quality",
     ),
 )
 def q_dq_rollup(spark, sf_dir):
     return quality_rollup(quality_history(spark, sf_dir))
+
+
+@query(
+    "dq_stale_symbols",
+    sql(
+        """SELECT DISTINCT test_name, unnest(['S' || dom, event_type]) AS symbol FROM quality
+  WHERE row_count > 0 AND event_type NOT IN ('click', 'view', 'purchase')""",
+        "quality",
+    ),
+)
+def q_dq_stale_symbols(spark, sf_dir):
+    return stale_by_test(quality_history(spark, sf_dir))

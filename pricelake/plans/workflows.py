@@ -135,6 +135,9 @@ class Lake:
                 found = json.loads(line["details"])
                 (meta if meta is not None else {}).update({k: v for k, v in found.items() if isinstance(v, int)})
             quality.record_report(report, history, run_id=run_id)
+            stale = quality.stale_symbols(self.silver.read(), as_of=as_of, max_lag_days=s.max_lag_days)
+            named = stale.select(F.lit(run_id).cast("string").alias("run_id"), "symbol", "max_date")
+            named.write.mode("append").parquet(self.path("meta", "stale_symbols"))
             quality.enforce(report)
         finally:
             report.unpersist()

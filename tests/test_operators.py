@@ -28,6 +28,8 @@ from pricelake.operators.quality import (
     quality_rollup,
     record_report,
     silver_report,
+    stale_by_test,
+    stale_symbols,
     source_freshness,
 )
 from pricelake.operators.run_history import run_state, stale_runs, track_run
@@ -325,7 +327,7 @@ def test_silver_report_gate_and_history(spark, tmp_path):
     report = silver_report(p, as_of="2025-01-10", low=0, high=100, max_lag_days=3)
     rows = {r["test_name"].split(".")[1]: r for r in report.collect()}
     assert [rows[k]["row_count"] for k in ("unique_symbol_date", "close_not_null", "close_within_bounds", "freshness")] == [1, 0, 1, 1]
-    assert rows["freshness"]["details"] == '{"stale_symbols":["A"]}'
+    assert rows["freshness"]["details"] == '{"stale_count":1}'
     with pytest.raises(QualityGateError, match="freshness"):
         enforce(report)
     fine = silver_report(p.where("symbol = 'B'"), as_of="2025-01-10", low=0, high=1000, max_lag_days=3)
@@ -337,7 +339,10 @@ def test_silver_report_gate_and_history(spark, tmp_path):
     history = spark.read.schema(DQ_HISTORY).parquet(path)
     rollup = {r["test_name"]: r for r in quality_rollup(history).collect()}
     assert rollup["silver.unique_symbol_date"]["duplicate_keys"] == 1
-    assert rollup["silver.freshness"]["stale_symbols"] == "A" and rollup["silver.freshness"]["runs"] == 2
+    assert rollup["silver.freshness"]["runs"] == 2
+    assert [r["symbol"] for r in stale_symbols(p, as_of="2025-01-10", max_lag_days=3).collect()] == ["A"]
+    listed = spark.createDataFrame([("t", '{"stale_symbols":["A","B"]}'), ("t", '{"stale_symbols":["A"]}'), ("u", "{}")], "test_name string, details string")
+    assert sorted(map(tuple, stale_by_test(listed).collect())) == [("t", "A"), ("t", "B")]
 
 
 def test_empty_silver_passes_the_gate(spark):
