@@ -5,13 +5,20 @@ one class, so copies cost nothing further. Each class gets a signature of ``HASH
 of ``TREES`` trees reads them in another order, ``DEPTH`` of them as its label. Sorted by label, the
 neighbours of a class are those with the longest common prefix: in sparse regions a prefix of
 ``MIN_DEPTH`` values makes a candidate, in dense ones the order itself puts the longest prefixes side by side, so the
-depth follows the region and each class has at most ``NEIGHBOURS`` candidates on either side in a tree.
+depth follows the region. The first pass takes ``NEIGHBOURS`` on either side in a tree, which bounds its work and joins most.
 
 Trees are sorted in key ranges that split anywhere, also inside a region; the rows at the ends of ranges
 meet in a second, small pass. Candidates are confirmed on full sets: first the most alike of each
 class, then those that would join different components. Links give connected components.
 
-A pair of similarity 0.85 shares a prefix of 4 in one of 20 trees with a probability over 0.999999.
+A region (the classes that share a prefix of ``MIN_DEPTH`` values in a tree) may then still hold several components whose
+members never were neighbours. ``rest`` goes on until nothing is left: in each such region all members meet a few
+pivots (the one with most links, the smallest, the largest), which are done there and leave it, in rounds until a
+round adds no link; classes in regions that still hold several components are joined by a prefix filter on full sets,
+every pair across components whose rarest shingles meet.
+
+A pair of similarity 0.85 shares a prefix of 4 in one of 20 trees with a probability over 0.999999, and each pair that
+does is compared, or lies in one component by other links.
 
 Defined cases: null and empty texts have empty sets and stand alone; fewer words than a shingle are one
 shingle; rows that repeat a ``doc_id`` are one document (links of either text hold for both); a null
@@ -199,10 +206,14 @@ def describe(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_describe, schema)
 
 
-def candidates(classes: DataFrame) -> DataFrame:
+def plant(classes: DataFrame) -> DataFrame:
+    """key (tree and label), node, n_shingles of each class in each tree."""
+    return written(classes.select("node", "n_shingles", "signature").mapInArrow(_plant, "key binary, node long, n_shingles long"), "forest")
+
+
+def candidates(planted: DataFrame) -> DataFrame:
     """Distinct pairs a < b of nodes whose labels are neighbours in some tree, and their most equal values."""
-    planted = written(classes.select("node", "n_shingles", "signature").mapInArrow(_plant, "key binary, node long, n_shingles long"), "forest")
-    n = range_partitions(classes.sparkSession)
+    n = range_partitions(planted.sparkSession)
     schema = "a long, b long, equal int, key binary, n_shingles long"
     ranged = planted.repartitionByRange(n, "key", "node").sortWithinPartitions("key", "node")
     found = written(ranged.mapInArrow(_neighbours, schema), "neighbours")
@@ -264,7 +275,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> Da
 
 def links(docs: DataFrame, classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Links between nodes (classes of equal sets, named by their smallest doc_id) that join all components."""
-    pairs = written(likely(candidates(classes), classes), "candidates")
+    planted = plant(classes)
+    pairs = written(likely(candidates(planted), classes), "candidates")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = written(texts_of(docs, wanted).mapInArrow(_sets, "node long, shingles array<long>"), "sets")
     best = F.max_by(F.struct("a", "b"), F.struct("same", "a", "b")).alias("pair")
@@ -276,7 +288,103 @@ def links(docs: DataFrame, classes: DataFrame, threshold: int = THRESHOLD) -> Da
     apart = pairs.join(a, "a", "left").join(b, "b", "left").where(
         F.coalesce("ca", "a") != F.coalesce("cb", "b")
     ).select("a", "b").join(nearest, ["a", "b"], "left_anti")
-    return first.unionByName(written(confirm(apart, sets, threshold), "links"))
+    found = first.unionByName(written(confirm(apart, sets, threshold), "links"))
+    return rest(docs, classes, planted, found, threshold)
+
+
+def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members with their component by the links found and their number of links."""
+    ends = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    placed = members.join(components(found), "node", "left").join(ends, "node", "left")
+    return placed.withColumns({"component": F.coalesce("component", "node"), "degree": F.coalesce("degree", F.lit(0))})
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """Regions whose members are of several components, each with its pivots."""
+    pivots = F.array(
+        F.max_by("node", F.struct("degree", "node")), F.max_by("node", F.struct("n_shingles", "node")), F.min_by("node", F.struct("n_shingles", "node"))
+    )
+    regions = members.groupBy("region").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.array_distinct(pivots).alias("pivots")
+    )
+    return regions.where("least <> most").select("region", "pivots")
+
+
+def _sizes_fit(threshold: int):
+    return 100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb")
+
+
+def _pairs(a: str, b: str):
+    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
+
+
+def rest(docs: DataFrame, classes: DataFrame, planted: DataFrame, found: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The links found, and those between members of one region that were never neighbours."""
+    rows = planted.select(F.substring("key", 1, 1 + 2 * MIN_DEPTH).alias("region"), "node", "n_shingles")
+    # with fewer members all pairs of a region have been neighbours
+    wide = rows.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NEIGHBOURS + 1).select("region")
+    members = _placed(rows.join(wide, "region", "left_semi"), found)
+    members = written(members, "members")
+    members = written(members.join(_mixed(members).select("region"), "region", "left_semi"), "members")
+    if members.isEmpty():
+        return found
+    texts = texts_of(docs, members.select(F.col("node").alias("doc_id")).distinct())
+    sets = written(texts.mapInArrow(_sets, "node long, shingles array<long>"), "sets")
+    while True:
+        mixed = written(_mixed(members), "mixed")
+        if mixed.isEmpty():
+            return found
+        inside = members.join(mixed.select("region"), "region", "left_semi")
+        chosen = mixed.select("region", F.explode("pivots").alias("node"))
+        pivots = members.join(chosen, ["region", "node"], "left_semi").select(
+            "region", F.col("node").alias("pivot"), F.col("n_shingles").alias("na"), F.col("component").alias("ca")
+        )
+        met = inside.withColumnRenamed("n_shingles", "nb").join(pivots, "region").where(F.col("ca") != F.col("component")).where(_sizes_fit(threshold))
+        met = met.select(*_pairs("pivot", "node")).distinct()
+        more = written(confirm(likely(met, classes), sets, threshold), "links")
+        left = inside.join(chosen, ["region", "node"], "left_anti").select("region", "node", "n_shingles")
+        added = not more.isEmpty()
+        if added:
+            found = found.unionByName(more)
+            members = written(_placed(left, found), "members")
+        else:
+            members = written(left.join(inside.select("region", "node", "component", "degree"), ["region", "node"]), "members")
+            break
+    last = members.join(_mixed(members).select("region"), "region", "left_semi").select("node", "component").distinct()
+    met = rare_pairs(last, sets, threshold)
+    return found.unionByName(written(confirm(likely(met, classes), sets, threshold), "links"))
+
+
+def rare_pairs(nodes: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs a < b of different components that can be similar enough: exact, by a prefix filter.
+
+    Of a set of n shingles at least ``threshold`` per cent must be shared, so with all sets in one order of
+    shingles, the rarest first, two similar sets meet in the first n less that many plus one. Shingles of one
+    set alone fill these places and need no partner. Only different components that hold a shingle meet at it.
+    """
+    own = sets.join(nodes, "node").select("node", "component", F.size("shingles").alias("n"), F.xxhash64("shingles").alias("set"), "shingles")
+    each = own.select("node", "component", "n", "set", F.explode("shingles").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    places = F.expr(f"n - (n * {threshold} + 99) div 100 + 1")
+    ranked = each.join(often, "shingle").groupBy("node", "component", "n", "set").agg(
+        F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("shared")
+    )
+    # shingles that no other set has come first and take places
+    room = (places - (F.col("n") - F.size("shared"))).cast("int")
+    first = written(
+        ranked.where(room > 0).select("node", "component", "n", F.explode(F.slice("shared", F.lit(1), room)).alias("at")).select(
+            F.col("at.shingle").alias("shingle"), "node", "component", "n"
+        ),
+        "prefixes",
+    )
+    here = first.select("shingle", "component").distinct()
+    several = here.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
+    here = written(here.join(several.select("shingle"), "shingle", "left_semi"), "held")
+    both = here.withColumnRenamed("component", "ca").join(here.withColumnRenamed("component", "cb"), "shingle").where("ca < cb")
+    a = first.select("shingle", F.col("component").alias("ca"), F.col("node").alias("x"), F.col("n").alias("na"))
+    b = first.select("shingle", F.col("component").alias("cb"), F.col("node").alias("y"), F.col("n").alias("nb"))
+    met = both.join(a, ["shingle", "ca"]).join(b, ["shingle", "cb"]).where(_sizes_fit(threshold))
+    return met.select(*_pairs("x", "y")).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

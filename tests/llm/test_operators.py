@@ -217,6 +217,67 @@ def test_near_dedup(spark, docs, rows):
     assert set(kept.columns) == set(docs.columns)
 
 
+def brute_components(texts):
+    """The smallest linked doc_id of each document, by all pairs of full sets."""
+    texts = dict(sorted(texts.items()))
+    sets = near_dedup.shingle_sets(list(texts.values()))
+    sizes = np.array([len(s) for s in sets])
+    seen, place = np.unique(np.concatenate(sets), return_inverse=True)
+    held = np.zeros((len(sets), len(seen)), np.float32)
+    held[np.repeat(np.arange(len(sets)), sizes), place] = 1
+    both = (held @ held.T).astype(np.int64)
+    alike = 100 * both >= 85 * (sizes[:, None] + sizes[None, :] - both)
+    ids = list(texts)
+    named = np.arange(len(ids))
+    while True:
+        least = np.where(alike, named[None, :], len(ids)).min(1)
+        if (least == named).all():
+            return {d: ids[c] for d, c in zip(ids, named.tolist(), strict=True)}
+        named = least
+
+
+def edited(words, rng, edits, name):
+    """The words with some replaced, at least five places apart: five shingles each."""
+    out = list(words)
+    for i in rng.choice(len(words) // 6 - 1, edits, replace=False):
+        out[6 * i + 5] = f"{name}x{i}"
+    return out
+
+
+def test_near_dedup_of_a_star_of_unlike_variants(spark):
+    """An original and 1000 variants that are like it (0.860) and less like each other; pairs among others of a template."""
+    rng = np.random.default_rng(7)
+    original = [f"w{i}" for i in range(404)]
+    texts = {500: " ".join(original)}
+    for k in range(1000):
+        texts[k if k < 500 else k + 1] = " ".join(edited(original, rng, 6, f"v{k}"))
+    template = [f"t{i}" for i in range(404)]
+    for k in range(80):
+        one = edited(template, rng, 9, f"a{k}")
+        texts[2000 + 2 * k] = " ".join(one)
+        texts[2001 + 2 * k] = " ".join(edited(one, rng, 6, f"b{k}"))
+    expected = brute_components(texts)
+    assert len({expected[d] for d in range(1001)}) == 1 and len(set(expected.values())) == 81
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == expected
+
+
+def test_rare_pairs_hold_all_alike_pairs(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(204)]
+    texts = [" ".join(edited(words, rng, int(rng.integers(1, 9)), f"v{k}")) for k in range(120)]
+    sets = near_dedup.shingle_sets(texts)
+    alike = {
+        (i, j) for i, a in enumerate(sets) for j in range(i + 1, len(sets))
+        if 100 * (both := len(np.intersect1d(a, sets[j]))) >= 85 * (len(a) + len(sets[j]) - both)
+    }
+    table = spark.createDataFrame([(i, s.view(np.int64).tolist()) for i, s in enumerate(sets)], "node long, shingles array<long>")
+    nodes = spark.createDataFrame([(i, i % 50) for i in range(len(sets))], "node long, component long")
+    got = {(r["a"], r["b"]) for r in near_dedup.confirm(near_dedup.rare_pairs(nodes, table), table).collect()}
+    assert got == {(i, j) for i, j in alike if i % 50 != j % 50} and got
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(300)] + [(1000, 2000), (2000, 3000), (5, 900)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
