@@ -5,10 +5,12 @@ element styles (tag, class, id), a presentation is the sequence of child styles
 varies little between pages in its presentation and its content carries site furniture. Importance is the entropy
 of what pages show at a node, divided by the most it could be for that many pages, so 0 where all pages agree
 and 1 where all differ; a page's branch of low importance outside its article is removed, and so are branches
-whose style says what they are (navigation, footer, advert, form, comments and the like).
+whose style says what they are (navigation, footer, advert, form, comments and the like). Copies of a page count once:
+pages are told apart by a fingerprint. ``<html>``, ``<body>`` and branches that hold all of a page's text stay, and a
+page of which nothing else would be left keeps all its branches.
 
-Counting is one grouped aggregation over (host, node, presentation hash, content hash): a hot host is combined
-before the shuffle, and its nodes are spread over tasks. The style tree of a host is joined back to pages by
+Counting is a grouped aggregation over (host, node, presentation hash, content hash), first with the fingerprint: a hot
+host is combined before the shuffle, and its nodes are spread over tasks. The style tree of a host is joined back to pages by
 node, not gathered.
 
 What stays is cut into blocks at block elements; inside a block, character references are decoded and white space
@@ -209,7 +211,7 @@ def branches(root: Node) -> list[Branch]:
         content[i] = _hash(words + "|" + ",".join(map(str, reversed(below[i]))))
         below[parent].append(content[i])
         article[parent] = article[parent] or article[i]
-        if not article[i]:
+        if not article[i] and node.tag not in ("html", "body"):
             shown = ",".join(c.style for c in node.children if not isinstance(c, str))
             out.append(Branch(place, node, _hash(shown), content[i]))
     return out
@@ -222,16 +224,19 @@ def _hash(text: str) -> int:
 def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows: list[tuple] = []
-        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            rows.extend((host, b.place, b.shown, b.content) for b in branches(parse(html or "")))
-        cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["host", "node", "shown", "content"])
+        for host, html, fp in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "fp")), strict=True):
+            rows.extend((host, b.place, b.shown, b.content, fp) for b in branches(parse(html or "")))
+        cols = list(zip(*rows, strict=True)) if rows else [[], [], [], [], []]
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["host", "node", "shown", "content", "fp"])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """host, node, pages, importance: the larger of the entropies of presentation and of content, each over its most."""
-    shown = pages.mapInArrow(_collect, "host string, node long, shown long, content long")
+    """host, node, pages, importance: the larger of the entropies of presentation and of content, each over its most.
+
+    Pages with the same fingerprint ``fp`` are one.
+    """
+    shown = pages.mapInArrow(_collect, "host string, node long, shown long, content long, fp long").distinct()
     seen = written(shown.groupBy("host", "node", "shown", "content").agg(F.count(F.lit(1)).alias("n")), "style-tree")
     share = F.col("n") * F.log2("n")
 
@@ -251,14 +256,30 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for html, low in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist(), strict=True):
             root, gone = parse(html or ""), frozenset(low or ())
             articles = _articles(root)
+            parts = articles or [root]
             dropped = frozenset(id(b.node) for b in branches(root) if b.place in gone) if gone else frozenset()
-            blocks = (text_blocks(part, dropped) for part in articles or [root])
-            texts.append("\n".join(chain.from_iterable(blocks)))
+            dropped = dropped - _holders(parts) if dropped else dropped
+            text = "\n".join(chain.from_iterable(text_blocks(part, dropped) for part in parts))
+            if dropped and not text:
+                text = "\n".join(chain.from_iterable(text_blocks(part) for part in parts))
+            texts.append(text)
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
         )
 
 
+def _holders(parts: list[Node]) -> frozenset:
+    """The nodes (by identity) that hold all of the text of the parts."""
+    holders: list[int] = []
+    level: list = list(parts)
+    while True:
+        full = [c for c in level if (c.strip() if isinstance(c, str) else text_blocks(c))]
+        if len(full) != 1 or isinstance(full[0], str):
+            return frozenset(holders)
+        holders.append(id(full[0]))
+        level = full[0].children
+
+
 def _articles(root: Node) -> list[Node]:
     """The outermost article or main elements that are not inside furniture."""
     found: list[Node] = []
@@ -277,7 +298,7 @@ def _articles(root: Node) -> list[Node]:
 def main_text(pages: DataFrame, least_importance: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES) -> DataFrame:
     """page_id, url, text of every page."""
     rows = pages.select("page_id", "url", "html", F.xxhash64("html").alias("fp")).withColumn("host", url_host(F.col("url")))
-    tree = style_tree(rows.select("host", "html"))
+    tree = style_tree(rows.select("host", "html", "fp"))
     low = tree.where((F.col("importance") < least_importance) & (F.col("pages") >= least_pages)).select("host", "node")
     # the low nodes of a host: bounded by the styles of its templates
     low = low.groupBy("host").agg(F.collect_set("node").alias("low"))

@@ -471,6 +471,17 @@ def test_html_text(spark):
     assert unescape("&eacute;") == "é"
 
 
+def test_html_text_counts_distinct_pages(spark):
+    page = "<html><body><div class='top'>Top</div><div class='box'><p>{0}</p></div></body></html>"
+    data = [(i, f"http://equal/{i}", page.format("same"), 1) for i in range(5)]
+    data += [(100 + i, f"http://hot/{i}", page.format("copy" if i < 90 else f"text {i}"), 1) for i in range(100)]
+    data += [(300 + i, f"http://wrap/{i}", f"<html><body><div class='box'>{'one' if i < 60 else 'two'}<!-- {i} --></div></body></html>", 1) for i in range(61)]
+    got = html_text.main_text(spark.createDataFrame(data, "page_id long, url string, html string, host int")).collect()
+    expected = [(i, "Top\nsame") for i in range(5)] + [(100 + i, "copy" if i < 90 else f"text {i}") for i in range(100)]
+    expected += [(300 + i, "one" if i < 60 else "two") for i in range(61)]
+    assert Counter((r["page_id"], r["text"]) for r in got) == Counter(expected)
+
+
 # -- empty tables ---------------------------------------------------------------------------
 
 
