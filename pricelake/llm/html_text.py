@@ -4,10 +4,11 @@ Each page becomes a tree of elements. Pages of one host are merged: a node of th
 element styles (tag, class, id), a presentation is the sequence of child styles a page has there. A node that
 varies little between pages in its presentation and its content carries site furniture. Importance is the entropy
 of what pages show at a node, divided by the most it could be for that many pages, so 0 where all pages agree
-and 1 where all differ; a page's branch of low importance outside its article is removed, and so are branches
+and 1 where all differ; a page's branch of low importance is removed, inside its article too, and so are branches
 whose style says what they are (navigation, footer, advert, form, comments and the like). Copies of a page count once:
 pages are told apart by a fingerprint. ``<html>``, ``<body>`` and branches that hold all of a page's text stay, and a
-page of which nothing else would be left keeps all its branches.
+page of which nothing else would be left keeps all its branches. Inside articles only whole blocks go: text inside
+a line, headings, parts of tables and of definition lists, and line breaks go with the block around them.
 
 Counting is a grouped aggregation over (host, node, presentation hash, content hash), first with the fingerprint: a hot
 host is combined before the shuffle, and its nodes are spread over tasks. The style tree of a host is joined back to pages by
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from pricelake.llm.common import written
 from pricelake.llm.url_rules import url_host
 
-#: Below this importance a branch outside the article goes, if its host shows it on enough pages.
+#: Below this importance a branch goes, if its host shows it on enough pages.
 LEAST_IMPORTANCE = 0.2
 LEAST_PAGES = 5
 
@@ -52,6 +53,8 @@ BLOCKS = frozenset(
 )
 CLOSES_P = BLOCKS - {"br", "body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}
 ARTICLE = frozenset(("article", "main"))
+#: What entropy may remove inside an article.
+REMOVABLE = BLOCKS - VOID - frozenset("body html h1 h2 h3 h4 h5 h6 hgroup caption tbody td tfoot th thead tr dt dd figcaption summary".split())
 _NOISE = re.compile(
     r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|header|footer|side-?bar|widget|cookies?|consent|"
     r"notice|popup|modal|newsletter|subscribe|share|social|related|recommend\w*|comments?|reply|replies|respond|disqus|login|search|form)(?:$|[\s_-])"
@@ -183,7 +186,7 @@ def text_blocks(node: Node, dropped: frozenset = frozenset()) -> list[str]:
 
 
 class Branch(NamedTuple):
-    """An element outside articles that holds none: where it is, how it is laid out, what it says (hashes)."""
+    """An element outside articles that holds none, or a block inside one: where it is, how it is laid out, what it says (hashes)."""
 
     place: int
     node: Node
@@ -194,12 +197,14 @@ class Branch(NamedTuple):
 def branches(root: Node) -> list[Branch]:
     """Branches of a page that are not furniture by name; hashes are built from the leaves up."""
     order: list[tuple[Node, int, int]] = [(root, -1, 0)]  # node, index of its parent, hash of its path
+    inside = [False]
     at = 0
     while at < len(order):
         node, _, place = order[at]
         for child in node.children:
-            if not isinstance(child, str) and child.tag not in HIDDEN and not child.noise and child.tag not in ARTICLE:
+            if not isinstance(child, str) and child.tag not in HIDDEN and not child.noise:
                 order.append((child, at, _hash(f"{place}/{child.style}")))
+                inside.append(inside[at] or child.tag in ARTICLE)
         at += 1
     content = [0] * len(order)
     article = [any(not isinstance(c, str) and c.tag in ARTICLE for c in node.children) for node, _, _ in order]
@@ -211,7 +216,7 @@ def branches(root: Node) -> list[Branch]:
         content[i] = _hash(words + "|" + ",".join(map(str, reversed(below[i]))))
         below[parent].append(content[i])
         article[parent] = article[parent] or article[i]
-        if not article[i] and node.tag not in ("html", "body"):
+        if node.tag in REMOVABLE if inside[i] else not article[i] and node.tag not in ("html", "body"):
             shown = ",".join(c.style for c in node.children if not isinstance(c, str))
             out.append(Branch(place, node, _hash(shown), content[i]))
     return out

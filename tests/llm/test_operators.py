@@ -482,6 +482,19 @@ def test_html_text_counts_distinct_pages(spark):
     assert Counter((r["page_id"], r["text"]) for r in got) == Counter(expected)
 
 
+def test_html_text_drops_repeated_blocks_inside_main(spark):
+    page = (
+        "<body><main><div class='box'>same on all pages</div><article><h2>About</h2><p>Text <b>bold</b><br>of {0}</p>"
+        "<div class='slot'><p>Same too</p></div><table><tr><td>Price<td>{0}</table></article></main></body>"
+    )
+    data = [(i, f"http://h/{i}", page.format(i), 1) for i in range(8)]
+    data += [(20 + i, "http://few/1", page.format(i), 1) for i in range(2)]
+    got = html_text.main_text(spark.createDataFrame(data, "page_id long, url string, html string, host int")).collect()
+    expected = [(i, f"About\nText bold\nof {i}\nPrice\n{i}") for i in range(8)]
+    expected += [(20 + i, f"same on all pages\nAbout\nText bold\nof {i}\nSame too\nPrice\n{i}") for i in range(2)]
+    assert Counter((r["page_id"], r["text"]) for r in got) == Counter(expected)
+
+
 # -- empty tables ---------------------------------------------------------------------------
 
 
