@@ -28,6 +28,7 @@ shingle; rows that repeat a ``doc_id`` are one document (links of either text ho
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +46,6 @@ TREES = 20
 DEPTH = 24
 MIN_DEPTH = 4
 NEIGHBOURS = 2
-#: Equal values, of a label and of whole signatures, below which a pair cannot be similar enough: at similarity
-#: 0.85 over 4 and over 5 standard deviations below what is expected.
-LEAST_EQUAL = 13
-LEAST_SAME = 88
 #: Bits of the table that tells candidates' texts from others before they are joined: 16 MB at any size.
 _BITS = 1 << 27
 _DOCS_AT_ONCE = 400
@@ -62,6 +59,20 @@ _WORD = _odd(1, SHINGLE)
 _MUL, _XOR = _odd(2, HASHES), _odd(3, HASHES)
 
 
+def least_equal(values: int, deviations: float, threshold: int) -> int:
+    """Equal values below which a pair cannot be similar enough: so many standard deviations below what is expected."""
+    p = threshold / 100
+    return max(0, int(values * p - deviations * (values * p * (1 - p)) ** 0.5))
+
+
+def _least_in_label(threshold: int) -> int:
+    return least_equal(DEPTH, 4.2, threshold)
+
+
+def _least_in_signature(threshold: int) -> int:
+    return least_equal(HASHES, 5.1, threshold)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -149,21 +160,22 @@ def _plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _alike(key: bytes, n: int, other: bytes, m: int) -> int:
+def _alike(key: bytes, n: int, other: bytes, m: int, threshold: int, least: int) -> int:
     """Equal values of two labels, 0 if the pair is no candidate."""
     head = 1 + 2 * MIN_DEPTH
-    if key[:head] != other[:head] or 100 * min(n, m) < THRESHOLD * max(n, m):
+    if key[:head] != other[:head] or 100 * min(n, m) < threshold * max(n, m):
         return 0
     a, b = np.frombuffer(key, ">u2", offset=1), np.frombuffer(other, ">u2", offset=1)
     equal = int((a == b).sum())
-    return equal if equal >= LEAST_EQUAL else 0
+    return equal if equal >= least else 0
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _neighbours(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
     """Candidates (a, b, equal) among sorted rows; and the first and last rows of the range, with b null."""
     out: list[tuple] = []
     last: list[tuple] = []
     seen = 0
+    least = _least_in_label(threshold)
 
     def flush() -> pa.RecordBatch:
         cols = list(zip(*out, strict=True)) if out else [[], [], [], [], []]
@@ -176,7 +188,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for key, node, n in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "n_shingles")), strict=True):
             for other, before, m in last:
-                if before != node and (equal := _alike(key, n, other, m)):
+                if before != node and (equal := _alike(key, n, other, m, threshold, least)):
                     out.append((min(node, before), max(node, before), equal, None, None))
             if seen < NEIGHBOURS:
                 out.append((node, None, None, key, n))
@@ -211,35 +223,36 @@ def plant(classes: DataFrame) -> DataFrame:
     return written(classes.select("node", "n_shingles", "signature").mapInArrow(_plant, "key binary, node long, n_shingles long"), "forest")
 
 
-def candidates(planted: DataFrame) -> DataFrame:
+def candidates(planted: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Distinct pairs a < b of nodes whose labels are neighbours in some tree, and their most equal values."""
     n = range_partitions(planted.sparkSession)
     schema = "a long, b long, equal int, key binary, n_shingles long"
     ranged = planted.repartitionByRange(n, "key", "node").sortWithinPartitions("key", "node")
-    found = written(ranged.mapInArrow(_neighbours, schema), "neighbours")
+    found = written(ranged.mapInArrow(partial(_neighbours, threshold=threshold), schema), "neighbours")
     # the ends of ranges: a few rows for each range
     ends = found.where("b IS NULL").select("key", F.col("a").alias("node"), "n_shingles").coalesce(1).sortWithinPartitions("key", "node")
-    across = ends.mapInArrow(_neighbours, schema)
+    across = ends.mapInArrow(partial(_neighbours, threshold=threshold), schema)
     pairs = found.unionByName(across).where("b IS NOT NULL")
     return pairs.groupBy("a", "b").agg(F.max("equal").alias("equal"))
 
 
-def _same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _same(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
         x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, HASHES) for c in ("sa", "sb"))
         same = (x == y).sum(1)
-        keep = np.flatnonzero(same >= LEAST_SAME)
+        keep = np.flatnonzero(same >= least)
         kept = batch.select(["a", "b"]).take(pa.array(keep))
         yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(same[keep], pa.int32())], ["a", "b", "same"])
 
 
-def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def likely(pairs: DataFrame, classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Candidates whose whole signatures agree enough: a, b, same."""
     sa = classes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
     sb = classes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-    return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(_same, "a long, b long, same int")
+    same = partial(_same, least=_least_in_signature(threshold))
+    return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(same, "a long, b long, same int")
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -276,7 +289,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> Da
 def links(docs: DataFrame, classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Links between nodes (classes of equal sets, named by their smallest doc_id) that join all components."""
     planted = plant(classes)
-    pairs = written(likely(candidates(planted), classes), "candidates")
+    pairs = written(likely(candidates(planted, threshold), classes, threshold), "candidates")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = written(texts_of(docs, wanted).mapInArrow(_sets, "node long, shingles array<long>"), "sets")
     best = F.max_by(F.struct("a", "b"), F.struct("same", "a", "b")).alias("pair")
@@ -341,7 +354,7 @@ def rest(docs: DataFrame, classes: DataFrame, planted: DataFrame, found: DataFra
         )
         met = inside.withColumnRenamed("n_shingles", "nb").join(pivots, "region").where(F.col("ca") != F.col("component")).where(_sizes_fit(threshold))
         met = met.select(*_pairs("pivot", "node")).distinct()
-        more = written(confirm(likely(met, classes), sets, threshold), "links")
+        more = written(confirm(likely(met, classes, threshold), sets, threshold), "links")
         left = inside.join(chosen, ["region", "node"], "left_anti").select("region", "node", "n_shingles")
         added = not more.isEmpty()
         if added:
@@ -352,7 +365,7 @@ def rest(docs: DataFrame, classes: DataFrame, planted: DataFrame, found: DataFra
             break
     last = members.join(_mixed(members).select("region"), "region", "left_semi").select("node", "component").distinct()
     met = rare_pairs(last, sets, threshold)
-    return found.unionByName(written(confirm(likely(met, classes), sets, threshold), "links"))
+    return found.unionByName(written(confirm(likely(met, classes, threshold), sets, threshold), "links"))
 
 
 def rare_pairs(nodes: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

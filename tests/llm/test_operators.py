@@ -278,6 +278,15 @@ def test_rare_pairs_hold_all_alike_pairs(spark):
     assert got == {(i, j) for i, j in alike if i % 50 != j % 50} and got
 
 
+def test_near_dedup_threshold_holds_for_sizes_and_counts(spark):
+    assert near_dedup._least_in_label(85) == 13 and near_dedup._least_in_signature(85) == 88
+    words = [f"w{i}" for i in range(404)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:332]))], "doc_id long, text string")  # 328 of 400
+    for threshold, second in ((80, 1), (85, 2)):
+        got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, threshold).collect()}
+        assert got == {1: 1, 2: second}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(300)] + [(1000, 2000), (2000, 3000), (5, 900)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
