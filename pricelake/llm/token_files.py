@@ -37,6 +37,8 @@ from pricelake.llm.tokens import encode_batch, slices, tokenizer_path
 END_ID = 2
 #: Documents that the dictionary is trained on, those with the smallest hashes of doc_id.
 SAMPLE = 2000
+#: Bytes of ids that one sampled document gives to the training of the dictionary, its first; all are written.
+SAMPLE_BYTES = 131_072
 DICTIONARY_BYTES = 65_536
 SHARD_BYTES = 4_000_000
 LEVEL = 3
@@ -72,7 +74,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, width: int, s
     encode = _encoder(tokenizer, end_id, width)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        samples = [ids[:131_072] for _, ids, _ in encode(batches)]
+        samples = [ids[:SAMPLE_BYTES] for _, ids, _ in encode(batches)]
         try:
             data = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if samples else b""
         except zstandard.ZstdError:
