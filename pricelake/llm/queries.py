@@ -12,6 +12,7 @@ from pricelake.llm import (
     exact_dedup,
     hard_negatives,
     html_text,
+    language_mixture,
     near_dedup,
     packing,
     pii,
@@ -256,3 +257,9 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+@query("op12_language_mixture")
+def op12_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_mixture.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
