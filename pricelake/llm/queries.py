@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.llm import (
+    collocations,
     exact_dedup,
     hard_negatives,
     html_text,
@@ -263,3 +264,42 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_mixture.identify(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query(
+    "op13_collocations",
+    r"""
+    WITH d AS (
+      SELECT coalesce(lang, 'und') AS lang,
+             unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents
+    ), w AS (
+      SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d
+    ), g AS (
+      SELECT lang, w[i:i + k - 1] AS p
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k))
+    ), f AS (
+      SELECT lang, array_to_string(p, ' ') AS phrase, len(p) AS words, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100
+    ), totals AS (
+      SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang
+    ), cuts AS (
+      SELECT lang, phrase, words, f AS a, unnest(range(1, words)) AS k, string_split(phrase, ' ') AS p FROM f WHERE words > 1
+    ), scored AS (
+      SELECT c.lang, c.phrase, c.words, c.a, l.f AS l, r.f AS r, n, k,
+             ((1000::HUGEINT * c.a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+      FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(p[1:k], ' ')
+                  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(p[k + 1:], ' ')
+                  JOIN totals t ON t.lang = c.lang
+      QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+    ), kept AS (
+      SELECT * FROM scored s
+      WHERE NOT EXISTS (SELECT 1 FROM f x WHERE x.lang = s.lang AND x.words > s.words AND 100 * x.f >= 100 * s.a
+                        AND contains(' ' || x.phrase || ' ', ' ' || s.phrase || ' '))
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM kept
+    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+    """,
+)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
