@@ -40,6 +40,20 @@ def date_id(date: Column) -> Column:
     return (F.year(date) * 10000 + F.month(date) * 100 + F.day(date)).cast("long")
 
 
+def date_of(date_id: Column) -> Column:
+    """The date of a yyyymmdd number."""
+    return F.make_date(F.floor(date_id / 10000).cast("int"), F.floor(date_id / 100).cast("int") % 100, (date_id % 100).cast("int"))
+
+
+def in_dates(rows: DataFrame, first=None, last=None) -> DataFrame:
+    """Rows whose ``date_id`` lies between two dates (both included, either may be None): a range of numbers that scans take."""
+    if first is not None:
+        rows = rows.where(F.col("date_id") >= date_id(as_date(first)))
+    if last is not None:
+        rows = rows.where(F.col("date_id") <= date_id(as_date(last)))
+    return rows
+
+
 def sunday_zero_dow(date: Column) -> Column:
     """Day of week with Sunday = 0."""
     return F.dayofweek(date) - 1

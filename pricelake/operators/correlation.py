@@ -103,11 +103,9 @@ def _block_correlator():
     return correlate
 
 
-def correlation_matrix(long: DataFrame, symbols: list[str] | None = None) -> DataFrame:
-    """Wide form: one column per symbol. Only for as many symbols as a table has columns."""
-    pivoted = long.groupBy("symbol")
-    pivoted = pivoted.pivot("other", symbols) if symbols else pivoted.pivot("other")
-    return pivoted.agg(F.first("correlation"))
+def correlation_matrix(long: DataFrame, symbols: list[str]) -> DataFrame:
+    """Wide form: one column for each of the symbols, which the caller names so that no job collects them."""
+    return long.groupBy("symbol").pivot("other", symbols).agg(F.first("correlation"))
 
 
 def benchmark_correlation(

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
-from pricelake.operators.upsert import merge_into, upsert
+from pricelake.functions.dates import in_dates
+from pricelake.operators.upsert import stage_merge, upsert
 from pricelake.schemas import BRONZE, FACT_KEY
 from pricelake.sources.combine import append_with_new_columns
-from pricelake.sources.versioned import MonthlyTable
+from pricelake.sources.versioned import MonthlyTable, Staged, VersionedTable
 
 MEASURES = [
     "open",
@@ -68,36 +70,72 @@ def fact_daily_price(
     return upsert(widened, fresh.select(*widened.columns), keys=FACT_KEY, always_replace=True)
 
 
-def extend_fact(
-    table: MonthlyTable, silver: DataFrame, assets: DataFrame, dates: DataFrame
-) -> int:
-    """Bring newly ingested silver rows into the stored fact; only their months are rewritten."""
-    fresh = fact_rows(newer_than_fact(silver, table.read()), assets, dates)
-    return merge_into(table, fresh, keys=FACT_KEY, always_replace=True)
+class FactIntake:
+    """What the stored fact has taken from silver: the version of each silver month, and the newest ingestion.
+
+    A silver month whose version is another one now has changed since. So an increment reads the changed months of
+    silver and of the fact, and neither table as a whole.
+    """
+
+    def __init__(self, root: str, fact: MonthlyTable, silver: MonthlyTable):
+        self.fact, self.silver = fact, silver
+        self.taken = VersionedTable(fact.spark, f"{root}/taken")
+        self.fresh = VersionedTable(fact.spark, f"{root}/fresh", keep=1)
+
+    def _taken(self) -> tuple[dict[str, str], dt.datetime | None]:
+        stored = self.taken.read()
+        rows = stored.collect() if stored is not None else []  # one row for each calendar month
+        return {r["month"]: r["version"] for r in rows}, max((r["mark"] for r in rows), default=None)
+
+    def changed_months(self) -> set[str]:
+        before, _ = self._taken()
+        return {m for m, v in self.silver.months().items() if before.get(m) != v}
+
+    def stage(self, assets: DataFrame, dates: DataFrame) -> tuple[Staged, DataFrame] | None:
+        """The fact's changed months with the newly ingested silver rows, and those rows; None if there are none."""
+        _, mark = self._taken()
+        months = self.changed_months()
+        if not months:
+            return None
+        rows = self.silver.read(months)
+        if mark is not None:
+            rows = rows.where(F.col("ingested_at") > F.lit(mark))
+        fresh = self.fresh.replace(fact_rows(rows, assets, dates))
+        return stage_merge(self.fact, fresh, months, keys=FACT_KEY, always_replace=True), fresh
+
+    def commit(self, fresh: DataFrame) -> None:
+        """Remember the state of silver that was taken; dying before this only repeats the same increment."""
+        _, mark = self._taken()
+        newest = fresh.agg(F.max("ingested_at")).first()[0]
+        mark = max((m for m in (mark, newest) if m is not None), default=None)
+        rows = [(m, v, mark) for m, v in sorted(self.silver.months().items())]
+        self.taken.replace(self.fact.spark.createDataFrame(rows, "month string, version string, mark timestamp").coalesce(1))
 
 
 def star_prices(
-    fact: DataFrame, assets: DataFrame, types: DataFrame, dates: DataFrame
+    fact: DataFrame, assets: DataFrame, types: DataFrame, dates: DataFrame, first=None, last=None
 ) -> DataFrame:
-    """(symbol, asset_type, date, close) through the dimensions."""
-    return _through_dimensions(fact, assets, types, dates).select(
+    """(symbol, asset_type, date, close) through the dimensions, optionally between two dates."""
+    return _through_dimensions(fact, assets, types, dates, first, last).select(
         "symbol", "asset_type", "date", "close"
     )
 
 
 def star_metrics(
-    metrics: DataFrame, assets: DataFrame, types: DataFrame, dates: DataFrame
+    metrics: DataFrame, assets: DataFrame, types: DataFrame, dates: DataFrame, first=None, last=None
 ) -> DataFrame:
-    """Metrics by (symbol, asset_type, date) through the dimensions."""
+    """Metrics by (symbol, asset_type, date) through the dimensions, optionally between two dates."""
     values = [c for c in metrics.columns if c not in FACT_KEY]
-    return _through_dimensions(metrics, assets, types, dates).select(
+    return _through_dimensions(metrics, assets, types, dates, first, last).select(
         "symbol", "asset_type", "date", *values
     )
 
 
 def _through_dimensions(
-    rows: DataFrame, assets: DataFrame, types: DataFrame, dates: DataFrame
+    rows: DataFrame, assets: DataFrame, types: DataFrame, dates: DataFrame, first=None, last=None
 ) -> DataFrame:
+    """A range of dates becomes one of ``date_id``, which reaches the scan of the fact and that of the dates."""
+    rows, dates = in_dates(rows, first, last), in_dates(dates, first, last)
     named = types.select("asset_type_id", F.col("name").alias("asset_type"))
     return (
         rows.join(assets.select("asset_id", "symbol", "asset_type_id"), "asset_id")

@@ -161,9 +161,10 @@ def with_relative_performance(
     return _relative(rows, benchmark, out).drop("_first_close")
 
 
-def _relative(rows: DataFrame, benchmark: DataFrame, out: str) -> DataFrame:
+def _relative(rows: DataFrame, benchmark: DataFrame, out: str, bench_first: Column | None = None) -> DataFrame:
     bench = benchmark.groupBy("date").agg(F.max("close").alias("_bench"))
-    bench_first = bench.agg(F.min_by("_bench", "date")).scalar()
+    if bench_first is None:
+        bench_first = bench.agg(F.min_by("_bench", "date")).scalar()
     growth = ratio(F.col("close"), F.col("_first_close"))
     return (
         rows.join(F.broadcast(bench), "date", "left")
@@ -180,15 +181,20 @@ def add_metrics(
     windows: list[int] | None = None,
     vol_rows: int = VOLATILITY_ROWS,
     slack_days: int = SLACK_DAYS,
+    first_close: str | None = None,
+    bench_first: Column | None = None,
 ) -> DataFrame:
     """All metrics on (by..., date, close): one shuffle by asset serves every frame.
 
     The calendar windows come first, while the rows are narrow; the volatility frames reuse
-    the order they leave behind.
+    the order they leave behind. A series that does not begin with the asset's first row names a column with the
+    first close, and gives the benchmark's.
     """
     out = _rolling(_with_neighbours(series, by), by, windows or ROLLING_DAYS, slack_days)
     out = _volatility(_daily(out), series_window(by, _AT), vol_rows)
-    return _relative(out, benchmark, "rel_perf_vs_btc").drop(_AT, *_NEIGHBOURS)
+    if first_close is not None:
+        out = out.withColumn("_first_close", F.col(first_close))
+    return _relative(out, benchmark, "rel_perf_vs_btc", bench_first).drop(_AT, *_NEIGHBOURS)
 
 
 def metric_columns(windows: list[int] | None = None, vol_rows: int = VOLATILITY_ROWS) -> list[str]:

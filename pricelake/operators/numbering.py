@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pricelake.sources.scratch import stored_once
+
 _SAMPLE_PER_RANGE = 16
 
 
@@ -14,14 +16,13 @@ def number_rows(
 ) -> DataFrame:
     """Number the rows 1..n by ``order`` (ascending, must be unique per row), without one task sorting them.
 
-    The rows are split into ``ranges`` key ranges (the session's shuffle partitions by default) at boundaries
-    drawn from a hash sample of bounded size (so every evaluation finds the same boundaries), numbered inside
-    each range, and shifted by the number of rows in earlier ranges. Nothing runs while the plan is built, and
-    what is sent to all tasks is one boundary and one count for each range. The keys must not change from one
-    evaluation to the next: round sums of doubles before ordering by them.
+    The rows are written once, split into ``ranges`` key ranges (the session's shuffle partitions by default) at boundaries
+    drawn from a hash sample of bounded size, numbered inside each range, and shifted by the number of rows in earlier
+    ranges. The input is evaluated once, while the plan is built; what is sent to all tasks is one boundary and one count
+    for each range.
     """
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.withColumn("_key", F.struct(*order))
+    keyed = stored_once(df.withColumn("_key", F.struct(*order)), "numbering")
     sample = (
         keyed.select("_key", F.xxhash64("_key").alias("_h"))
         .orderBy("_h", "_key")

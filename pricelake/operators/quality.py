@@ -283,7 +283,13 @@ def quality_rollup(results: DataFrame) -> DataFrame:
     )
 
 
-def stale_by_test(results: DataFrame) -> DataFrame:
-    """(test_name, symbol) of the symbols that a history lists as stale, one row each."""
+def stale_by_test(results: DataFrame, stale: DataFrame | None = None) -> DataFrame:
+    """(test_name, symbol) of the symbols that runs found stale, one row each.
+
+    ``stale`` is the table of stale symbols that each run of the lake appends to; a history may also hold lists in its details.
+    """
     listed = F.from_json(F.get_json_object("details", "$.stale_symbols"), "array<string>")
-    return results.select("test_name", F.explode(listed).alias("symbol")).distinct()
+    found = results.select("test_name", F.explode(listed).alias("symbol"))
+    if stale is not None:
+        found = found.unionByName(stale.select(F.lit(CHECKS[3]).alias("test_name"), "symbol"))
+    return found.distinct()

@@ -19,16 +19,26 @@ def _between(start: Column, end: Column) -> Column:
     )
 
 
-def ytd_return(prices: DataFrame, as_of=None) -> DataFrame:
-    """Last close over first close of the year so far, per symbol; null without rows."""
+def _return_between(prices: DataFrame, start: Column, end: Column, symbols: DataFrame | None) -> DataFrame:
+    if symbols is None:
+        return prices.groupBy("symbol").agg(_between(start, end).alias("return"))
+    found = prices.where(F.col("date").between(start, end)).groupBy("symbol").agg(_between(start, end).alias("return"))
+    return symbols.select("symbol").distinct().join(found, "symbol", "left")
+
+
+def ytd_return(prices: DataFrame, as_of=None, symbols: DataFrame | None = None) -> DataFrame:
+    """Last close over first close of the year so far, per symbol; null without rows.
+
+    The symbols are those of the prices. Where ``symbols`` lists them, only the prices of the window are read.
+    """
     end = resolve_as_of(as_of, prices)
-    return prices.groupBy("symbol").agg(_between(F.trunc(end, "YEAR"), end).alias("return"))
+    return _return_between(prices, F.trunc(end, "YEAR"), end, symbols)
 
 
-def window_return(prices: DataFrame, days: int, as_of=None) -> DataFrame:
-    """Last over first close in [as_of - days, as_of], per symbol; null without rows."""
+def window_return(prices: DataFrame, days: int, as_of=None, symbols: DataFrame | None = None) -> DataFrame:
+    """Last over first close in [as_of - days, as_of], per symbol; null without rows. ``symbols`` as for ``ytd_return``."""
     end = resolve_as_of(as_of, prices)
-    return prices.groupBy("symbol").agg(_between(F.date_sub(end, days), end).alias("return"))
+    return _return_between(prices, F.date_sub(end, days), end, symbols)
 
 
 def returns_by_window(
@@ -38,12 +48,14 @@ def returns_by_window(
     benchmark: str,
     windows_days: dict[str, int] | None = None,
     as_of=None,
+    symbols: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (window, symbol) with its return and the benchmark's.
 
     Windows whose length the metrics already hold take the last known value; other
     lengths and the year to date come from first and last closes. Everything per symbol
-    is one grouped aggregation of each input, then turned into rows.
+    is one grouped aggregation of each input, then turned into rows. Where ``symbols`` lists the symbols, the prices may
+    be those of the windows only.
     """
     windows = windows_days or WINDOW_DAYS
     end = resolve_as_of(as_of, prices)
@@ -54,6 +66,8 @@ def returns_by_window(
         _between(F.trunc(end, "YEAR"), end).alias("_ytd"),
         *[_between(F.date_sub(end, n), end).alias(f"_w_{w}") for w, n in inline.items()],
     )
+    if symbols is not None:
+        from_prices = symbols.select("symbol").distinct().join(from_prices, "symbol", "left")
     wide = from_prices
     if stored:
         last = last_value_at_or_before(metrics, list(stored.values()), end)

@@ -18,9 +18,11 @@ from pricelake.plans.adapters import (
 )
 from pricelake.plans.registry import query
 from pricelake.sources.bars import normalize_bars, parse_bar_pages
+from pricelake.sources.bronze import PARTITIONS, read_bronze
 from pricelake.sources.calendar import trading_calendar
-from pricelake.sources.combine import conform, union_sources
+from pricelake.sources.combine import union_sources
 from pricelake.sources.flat import flat_series
+from pricelake.sources.scratch import scratch_folder
 from pricelake.sources.seeds import changed_files, fingerprints
 from pricelake.sources.series import collapse_to_day, normalize_series, parse_series_pages
 from pricelake.sources.stage_log import parse_stage_log
@@ -135,27 +137,18 @@ def q_union_sources(spark, sf_dir):
     ),
 )
 def q_bronze_scan(spark, sf_dir):
-    """A close-only file (untyped null columns) and a full one, promoted to one schema."""
-    stored = prices(spark, sf_dir)
-    close_only = stored.where(F.col("source") == "coingecko").withColumns(
-        {c: F.lit(None) for c in ("open", "high", "low", "vwap", "trade_count")}
-    )
-    full = stored.where(F.col("source") != "coingecko")
+    """Bronze files of two writers, read as one table: the close-only ones lack columns or hold whole numbers without a value."""
+    root = scratch_folder(spark, "bronze")
+    stored = prices(spark, sf_dir).withColumn("ingested_date", F.to_date("ingested_at"))
+    close_only = F.col("source") == "coingecko"
+    # what an untyped column of nulls is in a file: 32-bit numbers, all null
+    bare = stored.where(close_only).withColumns({c: F.lit(None).cast("int") for c in ("open", "vwap", "trade_count")}).drop("high", "low")
+    for rows in (bare, stored.where(~close_only)):
+        rows.write.mode("append").partitionBy(*PARTITIONS).parquet(root)
     return (
-        conform(close_only)
-        .unionByName(conform(full))
+        read_bronze(spark, root)
         .where(F.col("asset_type") != "fx")
-        .select(
-            "source",
-            "asset_type",
-            F.to_date("ingested_at").alias("ingested_date"),
-            "symbol",
-            "date",
-            "open",
-            "close",
-            "vwap",
-            "trade_count",
-        )
+        .select("source", "asset_type", "ingested_date", "symbol", "date", "open", "close", "vwap", "trade_count")
     )
 
 

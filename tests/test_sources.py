@@ -13,7 +13,7 @@ from pricelake.functions.dates import millis_to_date
 from pricelake.operators.contract import BRONZE_RULES, ContractError, coerce, violating_rows
 from pricelake.schemas import ASSET_CATALOG, BRONZE
 from pricelake.sources.bars import normalize_bars, read_bar_pages
-from pricelake.sources.bronze import read_bronze, write_bronze
+from pricelake.sources.bronze import Written, read_bronze, write_bronze
 from pricelake.sources.calendar import trading_calendar
 from pricelake.sources.combine import union_sources
 from pricelake.sources.flat import flat_series
@@ -153,7 +153,7 @@ def test_bronze_rerun_replaces_its_folders_only(spark, tmp_path):
     day = utc(2025, 1, 2, 3)
     fx = bronze_row("C:X", D(2025, 1, 1), 2.0, day, asset_type="fx")
     first = write_bronze(bronze(spark, bronze_row("A", D(2025, 1, 1), 98.0, day), fx), root)
-    assert first == (2, D(2025, 1, 2), D(2025, 1, 2))
+    assert first == Written(2, D(2025, 1, 2), D(2025, 1, 2), D(2025, 1, 1), D(2025, 1, 1))
     again = [bronze_row("A", D(2025, 1, 1), 99.0, day), bronze_row("A", D(2025, 1, 2), 101.0, day)]
     assert write_bronze(bronze(spark, *again), root).rows == 2
     rows = read_bronze(spark, root)
