@@ -17,8 +17,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces that a worker remembers before it starts anew.
-MEMORY = 1_300_000
+from pricelake.llm.arrow_text import byte_slices
+
+#: Pieces, and bytes of them, that a worker remembers before it starts anew.
+MEMORY = 400_000
+MEMORY_BYTES = 16_000_000
+#: Bytes of text that are encoded at once.
+SLICE = 1_000_000
 #: Pieces in one call of the tokenizer: its results take much more memory than ids.
 _AT_ONCE = 10_000
 # White space of the tokenizer's own splitting pattern (Unicode), as a character class.
@@ -89,7 +94,7 @@ class PieceEncoder:
         """Where distinct pieces are in the memory; new ones are learned."""
         at = pc.index_in(pieces, value_set=self.known)
         new = pieces.filter(pc.is_null(at))
-        if len(new) and len(self.known) and len(self.known) + len(new) > MEMORY:
+        if len(new) and len(self.known) and (len(self.known) + len(new) > MEMORY or self.known.nbytes + new.nbytes > MEMORY_BYTES):
             self.clear()
             return self._places(pieces)
         at = at.to_numpy(zero_copy_only=False).astype(np.float64)
@@ -167,15 +172,11 @@ def encode_batch(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return encoder.encode(texts)
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", characters: int = 4_000_000):
-    """Slices of a batch with about so many characters, at least one row each; and their texts."""
-    texts = batch.column(text).to_pylist()
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= characters or i == len(texts) - 1:
-            yield batch.slice(at, i + 1 - at), [x or "" for x in texts[at : i + 1]]
-            at, size = i + 1, 0
+def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE):
+    """Slices of a batch with at most about so many bytes of text, one row at least; and their texts. Only one slice's texts are Python strings at a time."""
+    for part in byte_slices(batch, text, limit):
+        yield part, [x or "" for x in part.column(text).to_pylist()]
+    pa.default_memory_pool().release_unused()
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
