@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pricelake.llm.common import written
-from pricelake.llm.tokens import encode_batch, slices, tokenizer_path
+from pricelake.llm.tokens import MEMORY, SLICE, encode_batch, slices, tokenizer_path
 
 MAX_LENGTH = 1024
 END_ID = 0
@@ -37,14 +37,14 @@ def piece_lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
     return [longest] * (n // longest) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def _cutter(tokenizer: str, end_id: int, longest: int):
+def _cutter(tokenizer: str, end_id: int, longest: int, slice_bytes: int, memory: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         counts: dict[int, int] = {}
         path = tokenizer_path(tokenizer)
         for batch in batches:
-            for part, texts in slices(batch):
-                flat, sizes = encode_batch(path, texts)
+            for part, texts in slices(batch, limit=slice_bytes):
+                flat, sizes = encode_batch(path, texts, memory)
                 ends = np.cumsum(sizes)
                 rows: list[tuple] = []
                 for doc, n, end in zip(part.column("doc_id").to_pylist(), sizes.tolist(), ends.tolist(), strict=True):
@@ -61,13 +61,21 @@ def _cutter(tokenizer: str, end_id: int, longest: int):
     return cut
 
 
-def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = END_ID, longest: int = MAX_LENGTH) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    tokenizer: str = "byte_bpe_50k.json",
+    end_id: int = END_ID,
+    longest: int = MAX_LENGTH,
+    slice_bytes: int = SLICE,
+    memory: int = MEMORY,
+) -> DataFrame:
     """Pieces: doc_id, start, length, doc_tokens, ids (little-endian unsigned 32-bit), sequence_id, offset.
 
-    Each piece is a sequence; sequence ids count from 0, shortest bucket first, without gaps.
+    ``slice_bytes`` of text are encoded at once by a worker that remembers ``memory`` pieces: less of both takes less memory and more
+    time, and gives the same rows. Each piece is a sequence; sequence ids count from 0, shortest bucket first, without gaps.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = written(rows.mapInArrow(_cutter(tokenizer, end_id, longest), _SCHEMA), "pieces")
+    pieces = written(rows.mapInArrow(_cutter(tokenizer, end_id, longest, slice_bytes, memory), _SCHEMA), "pieces")
     counts = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
     inside = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("inside"))

@@ -20,10 +20,10 @@ import pyarrow.compute as pc
 from pricelake.llm.arrow_text import byte_slices
 
 #: Pieces, and bytes of them, that a worker remembers before it starts anew.
-MEMORY = 400_000
-MEMORY_BYTES = 16_000_000
+MEMORY = 1_300_000
+MEMORY_BYTES = 48_000_000
 #: Bytes of text that are encoded at once.
-SLICE = 1_000_000
+SLICE = 4_000_000
 #: Pieces in one call of the tokenizer: its results take much more memory than ids.
 _AT_ONCE = 10_000
 # White space of the tokenizer's own splitting pattern (Unicode), as a character class.
@@ -38,7 +38,8 @@ _workers: dict[str, PieceEncoder] = {}
 class PieceEncoder:
     """Encodes texts with the tokenizer of one file; keeps the ids of pieces it has met."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pieces: int = MEMORY):
+        self.pieces = pieces
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -94,7 +95,7 @@ class PieceEncoder:
         """Where distinct pieces are in the memory; new ones are learned."""
         at = pc.index_in(pieces, value_set=self.known)
         new = pieces.filter(pc.is_null(at))
-        if len(new) and len(self.known) and (len(self.known) + len(new) > MEMORY or self.known.nbytes + new.nbytes > MEMORY_BYTES):
+        if len(new) and len(self.known) and (len(self.known) + len(new) > self.pieces or self.known.nbytes + new.nbytes > MEMORY_BYTES):
             self.clear()
             return self._places(pieces)
         at = at.to_numpy(zero_copy_only=False).astype(np.float64)
@@ -160,11 +161,12 @@ def _piece(marked: str) -> str:
     return "\n" + marked[1:] if first == "\x00" else " " + marked
 
 
-def encode_batch(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the texts by the worker's encoder for ``path``."""
+def encode_batch(path: str, texts: list[str], pieces: int = MEMORY) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the texts by the worker's encoder for ``path``, which remembers so many pieces."""
     if path not in _workers:
         _workers[path] = PieceEncoder(path)
     encoder = _workers[path]
+    encoder.pieces = pieces
     try:
         return encoder.encode(texts)
     except MemoryStartedAnew:
