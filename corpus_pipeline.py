@@ -36,7 +36,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens."""
-    pieces = packing.pack(docs)
+    # workers still hold memory of the stages before
+    pieces = packing.pack(docs, slice_bytes=1_000_000, memory=400_000)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
