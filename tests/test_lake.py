@@ -280,12 +280,12 @@ def checks(lake, run_id):
 def test_gold_checks_stop_a_run(spark, lake):
     state = lambda: (lake.fact.months(), lake.metrics.months(), lake.gold("dim_date").count())
     before, published = state(), lake.answers.read("volatility_summary").collect()
-    # a row whose close is above its high, and a trading day on which a stock has no price
+    # a row whose open (118.8) and close are above its high, and a trading day on which a stock has no price
     wrong = list(bronze_row("BTC", D(2024, 8, 1), 120.0, utc(2024, 8, 2), "r3", "coingecko", "crypto"))
     wrong[5] = 110.0
     with pytest.raises(QualityGateError, match="close_within_low_high"):
         lake.run(frame(spark, tuple(wrong)), catalog(spark), run_id="r3", as_of="2024-07-02")
-    assert checks(lake, "r3") == {"fact_daily_price.close_within_low_high": 1, GAPS: 1}
+    assert checks(lake, "r3") == {"fact_daily_price.close_within_low_high": 1, "fact_daily_price.open_within_low_high": 1, GAPS: 1}
     assert state() == before and lake.answers.read("volatility_summary").collect() == published
     runs = {r["run_id"]: r["status"] for r in lake.health(today="2024-07-05")["runs"].collect()}
     assert runs["r3"] == "failed" and runs["r1"] == "success"
