@@ -31,7 +31,7 @@ def _runs(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Rule:
-    """text: how the rule is shown; pattern: searched in "host\\npath"; tokens: literals that a fitting URL holds."""
+    """text: how the rule is shown; pattern: searched in "host/path", as no host holds a slash; tokens: literals that a fitting URL holds."""
 
     text: str
     verdict: str
@@ -44,14 +44,14 @@ class Rule:
         """A rule for a host, its subdomains, and paths with a prefix: ``example.org/en/``."""
         host, slash, rest = text.partition("/")
         path = slash + rest
-        pattern = rf"\A(?:[^\n]*\.)?{re.escape(host)}\n{re.escape(path)}"
+        pattern = rf"\A(?:[^/]*\.)?{re.escape(host)}/{re.escape(path)}"
         whole = path if path.endswith("/") or not path else path[: len(path) - len(re.search(r"[A-Za-z0-9]*\Z", path)[0])]
         return Rule(text, verdict, pattern, tuple(f"h:{t}" for t in _runs(host)) + tuple(f"p:{t}" for t in _runs(whole)))
 
     @staticmethod
     def words(text: str, verdict: str, *host_tokens: str) -> Rule:
         """A rule for hosts that hold these tokens side by side, joined by hyphens."""
-        pattern = r"\A(?:[^\n]*[^A-Za-z0-9\n])?" + "-".join(map(re.escape, host_tokens)) + r"(?![A-Za-z0-9])[^\n]*\n"
+        pattern = r"\A(?:[^/]*[^A-Za-z0-9/])?" + "-".join(map(re.escape, host_tokens)) + r"(?![A-Za-z0-9])[^/]*/"
         return Rule(text, verdict, pattern, tuple(f"h:{t}" for t in host_tokens), by_place=False)
 
 
@@ -122,7 +122,7 @@ def judge(urls: DataFrame, url: str = "url", places=PLACES, words=WORDS) -> Data
         found = {rule: re.compile(rule.pattern) for filed in index.values() for rule in filed}
         out = []
         for h, p, held in zip(host, path, tokens, strict=True):
-            where = f"{h}\n{p}"
+            where = f"{h}/{p}"
             tried = (r for t in ("", *held) for r in index.get(t, ()))
             fits = [r for r in tried if h and found[r].search(where)]
             by_place = max((r for r in fits if r.by_place), key=lambda r: len(r.text), default=None)

@@ -450,6 +450,8 @@ def test_url_rules(spark):
         ("https://www.cheap-pills.com/en/", "www.cheap-pills.com", "/en/", None, "block"),
         ("https://org", "org", "", None, "allow"),
         ("https://x.net?q=/de/", "x.net", "", None, "allow"),
+        ("http://a\nb.org/x", "a\nb.org", "/x", "org/", "allow"),
+        ("http://a\nb.com/de/", "a\nb.com", "/de/", "com/de/", "block"),
         ("no scheme", "", "", None, "allow"),
         ("", "", "", None, "allow"),
         (None, "", "", None, "allow"),
