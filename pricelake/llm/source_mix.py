@@ -3,7 +3,7 @@
 Each source gets a target: its share by weight of ``share`` times all words, at most ``cap`` times
 its own words, the excess shared again. A schedule of slots follows the golden ratio: slot i falls
 on the point frac(i * phi) of the targets laid end to end, so any stretch of the schedule holds the
-sources in proportion. The slots of a source are ranked; its documents, shuffled by hash and laid end
+sources in proportion. Points are integers of 62 bits, so slots far out differ as the first ones do. The slots of a source are ranked; its documents, shuffled by hash and laid end
 to end, are cut into blocks of ``block_words`` words, and rank r takes block r modulo their number,
 in at most ``cap`` passes. A source is so taken up to a few blocks from its target.
 
@@ -18,9 +18,10 @@ further columns are ignored. Reruns agree: nothing depends on the order of rows.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -30,7 +31,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2
 BLOCK_WORDS = 32
-GOLDEN = (5**0.5 - 1) / 2
+#: The golden ratio's fraction in 62 bits: (sqrt(5) - 1) / 2 times 2^62, made odd.
+GOLDEN = (math.isqrt(5 << 124) - (1 << 62)) >> 1 | 1
 #: Slots that are ranked together.
 STRETCH = 1 << 16
 _CELLS = 1024
@@ -75,6 +77,21 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     return written(lined.withColumn("last", F.col("first") + F.col("room")).drop("part", "weight", "most", "room"), "targets")
 
 
+def _halves(x: Column) -> tuple[Column, Column]:
+    """The high and the low 31 bits of a number below 2^62: their products fit a long."""
+    return F.shiftright(x, 31), x.bitwiseAND(F.lit((1 << 31) - 1))
+
+
+def slot_point(slot: Column, line: int) -> Column:
+    """Where a slot falls on a line of ``line`` words: floor(line * frac(slot * phi)), in whole numbers (both below 2^62)."""
+    mask = F.lit((1 << 31) - 1)
+    (s1, s0), (g1, g0) = _halves(slot), (F.lit(GOLDEN >> 31), F.lit(GOLDEN & (1 << 31) - 1))
+    crossed = ((s1 * g0).bitwiseAND(mask) + (s0 * g1).bitwiseAND(mask)).bitwiseAND(mask)
+    point = (F.shiftleft(crossed, 31) + s0 * g0).bitwiseAND(F.lit((1 << 62) - 1))
+    (p1, p0), (n1, n0) = _halves(point), (F.lit(line >> 31).cast("long"), F.lit(line & (1 << 31) - 1).cast("long"))
+    return p1 * n1 + F.shiftright(p1 * n0 + p0 * n1 + F.shiftright(p0 * n0, 31), 31)
+
+
 def slot_schedule(sources: DataFrame, block_words: int = BLOCK_WORDS, cap: int = CAP) -> DataFrame:
     """slot, source_no, rank, block: which block each slot takes."""
     spark = sources.sparkSession
@@ -83,13 +100,11 @@ def slot_schedule(sources: DataFrame, block_words: int = BLOCK_WORDS, cap: int =
     width = max(1, -(-line // max(_CELLS, n_sources)))  # cells of the line: a slot meets the sources of its cell only
     cells = sources.where("last > first").select(
         "source_no", "first", "last", "source_size",
-        F.explode(F.sequence(F.floor(F.col("first") / width), F.floor((F.col("last") - 1) / width))).alias("cell"),
+        F.explode(F.sequence(F.expr(f"first div {width}"), F.expr(f"(last - 1) div {width}"))).alias("cell"),
     )
-    point = F.col("slot") * F.lit(GOLDEN)
-    at = F.least(F.floor((point - F.floor(point)) * F.lit(line)), F.lit(max(line - 1, 0)))
-    slots = spark.range(round(line / block_words)).select(F.col("id").alias("slot")).withColumn("at", at)
+    slots = spark.range((line + block_words // 2) // block_words).select(F.col("id").alias("slot"), slot_point(F.col("id"), line).alias("at"))
     drawn = (
-        slots.withColumn("cell", F.floor(F.col("at") / width))
+        slots.withColumn("cell", F.expr(f"at div {width}"))
         .join(cells, "cell")
         .where("at >= first AND at < last")
         .select("slot", "source_no", F.ceil(F.col("source_size") / block_words).alias("blocks"), F.floor(F.col("slot") / STRETCH).alias("stretch"))

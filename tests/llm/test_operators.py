@@ -181,6 +181,18 @@ def test_source_mix(docs, rows):
     assert out.columns == docs.columns and out.count() > 0
 
 
+def test_slot_points_are_exact_far_out(spark):
+    line, mask = 3 * 10**14 + 7, (1 << 62) - 1
+    for first in (0, 5 * 10**12, (1 << 61) + 3):
+        slots = spark.range(first, first + 2000)
+        got = {r["id"]: r["at"] for r in slots.select("id", source_mix.slot_point(F.col("id"), line).alias("at")).collect()}
+        assert got == {i: (i * source_mix.GOLDEN & mask) * line >> 62 for i in range(first, first + 2000)}
+        ordered = sorted(got.values())
+        gaps = [b - a for a, b in zip(ordered, ordered[1:], strict=False)]
+        assert min(gaps) > line / 2000 / 4 and max(gaps) < line / 2000 * 4  # as even as the first slots
+    assert source_mix.GOLDEN / 2**62 == pytest.approx((5**0.5 - 1) / 2, abs=1e-15)
+
+
 # -- near dedup -----------------------------------------------------------------------------
 
 
