@@ -1,13 +1,15 @@
 """Exact deduplication through an extendible-hash index in shared files.
 
 Texts are equal when identical after lower-casing A-Z. Each text gets a 64-bit key; the leading
-bits of the key select a bucket. The directory starts with one bucket and doubles its depth while
-a bucket holds more texts than ``capacity``: only overfull buckets split, the others keep their
-local depth. Owner tasks hold key ranges of the index; texts that share a key are told apart by
-their bytes and form a chain below that key.
+bits of the key are its slot in a directory, which starts with one bucket and doubles its depth while
+a bucket holds more keys than ``capacity``: only overfull buckets split, the others keep their
+local depth. The slots send the texts to owner tasks, each with the key ranges of some slots; an owner compares
+texts of one slot and key by their bytes, and texts that share a key form a chain below it. What is found for a
+text is written to the index, and documents read it there.
 
-Everything is DataFrame operations. Copies of one text are combined before the shuffle, so a text
-that makes up a third of the corpus arrives as one row from each task.
+Everything is DataFrame operations. Keys that hold more than one in ``HOT_KEYS`` of all rows have their copies combined
+before they go to their owner, so a text that makes up a third of the corpus arrives there as one row. The depth has no
+limit of its own: with keys spread evenly it is a few more than the binary logarithm of texts by capacity.
 
 Defined cases: a null text counts as empty, all empty texts are one group; rows that repeat both
 ``doc_id`` and text are one document, they stay or go together (each counts in ``group_size``); a
@@ -22,12 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import ascii_lower, carried, shared_folder, whole_text, written
+from pricelake.llm.common import ascii_lower, carried, range_partitions, shared_folder, whole_text, written
 
-#: Texts that one bucket may hold before it splits.
-CAPACITY = 20_000
-#: Most bits that the directory may use; fuller buckets keep their texts in longer chains of keys.
-MAX_DEPTH = 20
+#: Keys that one bucket may hold before it splits.
+CAPACITY = 4096
+#: A key with more than one in so many of all rows is hot; so there are at most that many.
+HOT_KEYS = 1 << 16
+#: Bits of the keys that are counted at once while the directory grows.
+_STEP = 16
 
 
 @dataclass(frozen=True)
@@ -45,26 +49,27 @@ def leading_bits(key: Column, depth: int) -> Column:
     return F.shiftrightunsigned(key, 64 - depth) if depth else F.lit(0).cast("long")
 
 
-def build_directory(entries: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> tuple[DataFrame, int]:
-    """Slots of the directory: slot (the key's first bits at global depth), depth, bucket; and that depth.
+def build_directory(keys: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
+    """Slots of the directory over distinct keys: slot (the key's first bits at global depth), depth, bucket; and that depth.
 
-    Only how many buckets are overfull reaches the driver.
+    Only whether buckets are overfull reaches the driver.
     """
-    spark = entries.sparkSession
-    counts = written(
-        entries.select("hash_key").distinct().groupBy(leading_bits(F.col("hash_key"), max_depth).alias("bits"))
-        .agg(F.count(F.lit(1)).alias("n")),
-        "key-counts",
-    )
-    leaves, parents, depth = [], None, 0
+    spark = keys.sparkSession
+    leaves, parents, depth, counted = [], None, 0, -1
     while True:
-        level = counts.groupBy(F.shiftright("bits", max_depth - depth).alias("bucket")).agg(F.sum("n").alias("n"))
-        if parents is not None:
-            parent = parents.select(F.col("bucket").alias("_parent"))
-            level = level.join(parent, F.shiftright("bucket", 1) == F.col("_parent"), "left_semi")
+        parent = parents.select(F.col("bucket").alias("_parent")) if parents is not None else None
+        if depth > counted:
+            under = keys
+            if parent is not None:
+                under = keys.join(parent, leading_bits(F.col("hash_key"), depth - 1) == F.col("_parent"), "left_semi")
+            counted = min(64, depth + _STEP)
+            counts = written(under.groupBy(leading_bits(F.col("hash_key"), counted).alias("bits")).agg(F.count(F.lit(1)).alias("n")), "key-counts")
+        level = counts.groupBy(F.shiftrightunsigned("bits", counted - depth).alias("bucket")).agg(F.sum("n").alias("n"))
+        if parent is not None:
+            level = level.join(parent, F.shiftrightunsigned("bucket", 1) == F.col("_parent"), "left_semi")
         level = written(level, "directory-level")
         overfull = level.where(F.col("n") > capacity)
-        last = depth == max_depth or overfull.isEmpty()
+        last = overfull.isEmpty()
         leaves.append((level if last else level.where(F.col("n") <= capacity), depth))
         if last:
             break
@@ -84,30 +89,41 @@ def build_directory(entries: DataFrame, capacity: int = CAPACITY, max_depth: int
     return spark.read.schema(slots.schema).parquet(directory), depth
 
 
-def build_index(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> ExactIndex:
+def owner_groups(rows: DataFrame, keys: DataFrame, depth: int) -> DataFrame:
+    """One row for each distinct text: slot, hash_key, norm, keep_id, group_size; grouped where its slot's owner is.
+
+    ``rows`` are doc_id, hash_key, norm; ``keys`` are hash_key, n (its rows). Nothing is shuffled after the owners grouped.
+    """
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(keys.where((F.col("n") > 1) & (F.col("n") > total // HOT_KEYS)).select("hash_key"))  # at most HOT_KEYS keys
+    found = [F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")]
+    combined = rows.join(hot, "hash_key", "left_semi").groupBy("hash_key", "norm").agg(*found)
+    others = rows.join(hot, "hash_key", "left_anti").select("hash_key", "norm", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
+    sent = combined.unionByName(others).withColumn("slot", leading_bits(F.col("hash_key"), depth))
+    owned = sent.repartition(range_partitions(rows.sparkSession), "slot")
+    return owned.groupBy("slot", "hash_key", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+
+
+def build_index(docs: DataFrame, capacity: int = CAPACITY) -> ExactIndex:
     """Index all texts: one entry for each distinct text, in files ordered by bucket and key."""
     text = ascii_lower(whole_text())
-    rows = docs.select("doc_id", text.alias("norm"))
-    entries = written(
-        rows.select("doc_id", F.xxhash64("norm").alias("hash_key"), F.sha2("norm", 256).alias("text_sha256")),
-        "entries",
-    )
-    directory, depth = build_directory(entries, capacity, max_depth)
-    # whole texts are the grouping key: their bytes are compared, and tasks combine copies first
-    groups = rows.groupBy("norm").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).select(
-        F.xxhash64("norm").alias("hash_key"), F.sha2("norm", 256).alias("text_sha256"),
-        F.octet_length("norm").alias("n_bytes"), "keep_id", "group_size",
+    rows = docs.select("doc_id", text.alias("norm")).withColumn("hash_key", F.xxhash64("norm"))
+    entries = written(rows.select("doc_id", "hash_key", F.sha2("norm", 256).alias("text_sha256")), "entries")
+    keys = written(entries.groupBy("hash_key").agg(F.count(F.lit(1)).alias("n")), "keys")
+    directory, depth = build_directory(keys, capacity)
+    groups = owner_groups(rows, keys, depth).select(
+        "slot", "hash_key", F.sha2("norm", 256).alias("text_sha256"), F.octet_length("norm").alias("n_bytes"), "keep_id", "group_size",
     )
-    placed = groups.withColumn("slot", leading_bits(F.col("hash_key"), depth)).join(directory, "slot", "left").drop("slot")
+    placed = written(groups, "groups").join(directory, "slot").drop("slot")
     chain = F.row_number().over(W.partitionBy("bucket", "hash_key").orderBy("text_sha256"))
     owned = placed.withColumn("chain", chain).repartitionByRange("bucket", "hash_key")
     index = written(owned.sortWithinPartitions("bucket", "hash_key", "chain"), "exact-index")
     return ExactIndex(entries, directory, index, depth)
 
 
-def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
+def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every document, and its bucket."""
-    found = build_index(docs, capacity, max_depth)
+    found = build_index(docs, capacity)
     index = found.index.select("hash_key", "text_sha256", "keep_id", "group_size", "bucket", "chain")
     return found.entries.join(index, ["hash_key", "text_sha256"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
@@ -115,13 +131,13 @@ def exact_duplicates(docs: DataFrame, capacity: int = CAPACITY, max_depth: int =
     )
 
 
-def drop_duplicates(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
+def drop_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The documents that stay, with their own columns.
 
     A document is told from others by ``doc_id`` and text, so the join takes both.
     """
     gone = (
-        exact_duplicates(docs, capacity, max_depth)
+        exact_duplicates(docs, capacity)
         .where(~F.col("kept"))
         .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
         .distinct()

@@ -82,8 +82,8 @@ def test_exact_dedup(docs, rows):
     expected = [
         (i, max(g := groups[lowered(t)]), len(g), i == max(g), hashlib.sha256(lowered(t).encode()).hexdigest()) for i, t, *_ in rows
     ]
-    for capacity in (1, 20_000):  # a directory that doubles, and one bucket
-        found = exact_dedup.exact_duplicates(docs, capacity=capacity, max_depth=8)
+    for capacity in (1, 4096):  # a directory that doubles, and one bucket
+        found = exact_dedup.exact_duplicates(docs, capacity=capacity)
         same_rows(found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256"), expected)
     kept = exact_dedup.drop_duplicates(docs)
     assert kept.columns == docs.columns
@@ -91,13 +91,49 @@ def test_exact_dedup(docs, rows):
 
 
 def test_directory_doubles_only_where_full(docs):
-    index = exact_dedup.build_index(docs, capacity=2, max_depth=10)
+    index = exact_dedup.build_index(docs, capacity=2)
     assert index.depth > 1
     slots = index.directory.collect()
     assert sorted(r["slot"] for r in slots) == sorted(set(r["slot"] for r in slots))
     assert len({r["depth"] for r in slots}) > 1
     held = index.index.groupBy("bucket").count().collect()
     assert max(r["count"] for r in held) <= 2
+    assert all(len(r["bucket"]) == r["depth"] for r in slots)
+
+
+def test_directory_grows_past_the_bits_counted_at_once(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "_STEP", 2)
+    keys = spark.range(200).select(F.xxhash64("id").alias("hash_key"), F.lit(1).alias("n"))
+    directory, depth = exact_dedup.build_directory(keys, capacity=3)
+    assert depth > 5
+    bits = [format(r["hash_key"] & (1 << 64) - 1, "064b") for r in keys.collect()]
+    slots = directory.collect()
+    assert all(format(r["slot"], f"0{depth}b").startswith(r["bucket"]) for r in slots) and len({r["slot"] for r in slots}) == len(slots)
+    held = Counter(next(r["bucket"] for r in slots if b.startswith(format(r["slot"], f"0{depth}b"))) for b in bits)
+    assert max(held.values()) <= 3
+
+
+def test_texts_are_grouped_where_their_slot_is_owned(spark, monkeypatch):
+    data = [(i, f"text {i % 50}" if i % 3 else "hot") for i in range(600)] + [(None, "hot")]
+    rows = spark.createDataFrame(data, "doc_id long, norm string").withColumn("hash_key", F.xxhash64("norm"))
+    crowded = rows.withColumn("hash_key", F.xxhash64("norm") % 7)  # keys that several texts share
+    for limit in (exact_dedup.HOT_KEYS, 5):
+        monkeypatch.setattr(exact_dedup, "HOT_KEYS", limit)
+        for table, depth in ((rows, 4), (crowded, 0)):
+            keys = table.groupBy("hash_key").agg(F.count(F.lit(1)).alias("n"))
+            got = exact_dedup.owner_groups(table, keys, depth)
+            texts = [t for _, t in data]
+            same_rows(got.select("norm", "keep_id", "group_size"), [(t, max(i for i, x in data if x == t and i is not None), texts.count(t)) for t in set(texts)])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("hashpartitioning(slot")]
+    assert above.count("Exchange") == 1 and "hashpartitioning(slot" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_kept_ids_come_from_the_index(docs):
+    plan = exact_dedup.exact_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "Scan parquet" in line]
+    assert len(scans) == 2 and "exact-index" in "".join(scans) and "norm" not in plan
+    assert ["keep_id" in x for x in scans].count(True) == 1 and "keep_id" in next(x for x in scans if "exact-index" in x)
 
 
 # -- quality --------------------------------------------------------------------------------
