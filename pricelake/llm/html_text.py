@@ -10,9 +10,12 @@ pages are told apart by a fingerprint. ``<html>``, ``<body>`` and branches that
 page of which nothing else would be left keeps all its branches. Inside articles only whole blocks go: text inside
 a line, headings, parts of tables and of definition lists, and line breaks go with the block around them.
 
+A form around an article is a wrapper, and ``<main>`` is never furniture; a page of which such names would leave nothing
+gives its articles, however they are named. Pages are read in one pass, in time proportional to their length.
+
 Counting is a grouped aggregation over (host, node, presentation hash, content hash), first with the fingerprint: a hot
-host is combined before the shuffle, and its nodes are spread over tasks. The style tree of a host is joined back to pages by
-node, not gathered.
+host is combined before the shuffle, and its nodes are spread over tasks. The low nodes of a host are
+joined back to its pages, those of a hot host in parts.
 
 What stays is cut into blocks at block elements; inside a block, character references are decoded and white space
 is one space; blocks are joined by line feeds.
@@ -35,12 +38,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelake.llm.arrow_text import byte_slices
 from pricelake.llm.common import written
 from pricelake.llm.url_rules import url_host
 
 #: Below this importance a branch goes, if its host shows it on enough pages.
 LEAST_IMPORTANCE = 0.2
 LEAST_PAGES = 5
+#: A host with more than one in so many of all pages is hot: its pages go to several tasks, each with as many at most.
+HOT_HOSTS = 1024
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,8 +65,11 @@ _NOISE = re.compile(
     r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|header|footer|side-?bar|widget|cookies?|consent|"
     r"notice|popup|modal|newsletter|subscribe|share|social|related|recommend\w*|comments?|reply|replies|respond|disqus|login|search|form)(?:$|[\s_-])"
 )
-_TAG = re.compile(r"<(?:!--(.*?)(?:-->|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?][^>]*>)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=\"'/<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: A tag; quotes open a value after "=" only. Possessive repeats: what was read is not read again.
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
+_PLAIN_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>")
+_MARKUP = re.compile(r"<(?=[!?]|/?[A-Za-z])")
+_ATTRIBUTE = re.compile(r"([^\s=\"'/<>]+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 _ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog"))
 
 
@@ -74,39 +83,104 @@ class Node:
         self.children: list = []
 
 
+class _Open:
+    """The open elements; where each tag is open tells what an end tag closes, without a walk through them."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCKS:
+            self.blocks.append(len(self.nodes))
+        if node.tag in ARTICLE:
+            for at in reversed(self.places.get("form", ())):  # a form around an article is a wrapper
+                if not self.nodes[at].noise:
+                    break
+                self.nodes[at].noise = False
+        self.nodes.append(node)
+
+    def last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def cut(self, at: int) -> None:
+        while len(self.nodes) > at:
+            node = self.nodes.pop()
+            self.places[node.tag].pop()
+            if node.tag in BLOCKS:
+                self.blocks.pop()
+
+    def close(self, tag: str) -> None:
+        at = self.last((tag,))
+        # what is closed inside an article and was not opened there is ignored
+        if at and (at >= self.last(ARTICLE) or tag in ("body", "html", "article", "main")):
+            self.cut(at)
+
+    def close_paragraph(self) -> None:
+        at = self.last(("p",))
+        if at and at == self.blocks[-1]:
+            self.cut(at)
+
+    def close_sibling(self, tag: str) -> None:
+        at = self.last(_SAME.get(tag, (tag,)))
+        if at and at > self.last(_AROUND.get(tag, ())) and at > self.last(ARTICLE):
+            self.cut(at)
+
+
+# Which open elements an element of the same kind ends, and up to where.
+_SAME = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
+_AROUND = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
+
+
 def parse(html: str) -> Node:
-    """A forgiving parse: unknown closings are ignored, block elements end an open paragraph."""
+    """A forgiving parse in one pass: unknown closings are ignored, block elements end an open paragraph.
+
+    A tag that does not end by its quotes ends at the next ``>``, and so do all after it; one that does not end at all is
+    the rest of the page.
+    """
     root = Node("#", "#", False)
-    stack = [root]
+    opened = _Open(root)
+    pattern = _TAG
     at, n = 0, len(html)
     while at < n:
-        m = _TAG.search(html, at)
+        start = _MARKUP.search(html, at)
+        stop = start.start() if start else n
+        if stop > at:
+            opened.nodes[-1].children.append(html[at:stop])
+        if start is None:
+            break
+        if html[stop + 1] in "!?":
+            comment = html.startswith("<!--", stop)
+            end = html.find("-->", stop + 2) if comment else html.find(">", stop)
+            at = n if end < 0 else end + (3 if comment else 1)
+            continue
+        m = pattern.match(html, stop)
+        if m is None and pattern is _TAG:
+            pattern = _PLAIN_TAG
+            m = pattern.match(html, stop)
         if m is None:
-            stack[-1].children.append(html[at:])
             break
-        if m.start() > at:
-            stack[-1].children.append(html[at : m.start()])
         at = m.end()
-        name = m.group(3)
-        if name is None:
-            continue
-        tag = name.lower()
-        if m.group(2):
-            _close(stack, tag)
+        tag, attributes = m.group(2).lower(), m.group(3)
+        if m.group(1):
+            opened.close(tag)
             continue
         if tag in CLOSES_P:
-            _close_paragraph(stack)
-        if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
-            _close_sibling(stack, tag)
-        node = _element(tag, m.group(4))
-        stack[-1].children.append(node)
+            opened.close_paragraph()
+        if tag in _AROUND or tag == "option":
+            opened.close_sibling(tag)
+        node = _element(tag, attributes)
+        opened.nodes[-1].children.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
+            end = re.compile(rf"</{re.escape(tag)}(?![\w])", re.I).search(html, at)
             if tag not in HIDDEN:
                 node.children.append(html[at : end.start() if end else n])
-            at = end.end() if end else n
-        elif tag not in VOID and not m.group(4).endswith("/"):
-            stack.append(node)
+            close = html.find(">", end.end()) if end else -1
+            at = close + 1 if close >= 0 else n
+        elif tag not in VOID and not attributes.endswith("/"):
+            opened.push(node)
     return root
 
 
@@ -124,36 +198,7 @@ def _element(tag: str, attributes: str) -> Node:
             hidden = True
     style = f"{tag}.{kind}#{re.sub(r'[0-9]+', '0', ident)}" if kind or ident else tag
     noise = tag in FURNITURE or role in _ROLES or hidden or bool(_NOISE.search(f"{kind} {ident}"))
-    return Node(tag, style, noise and tag not in ("html", "body"))
-
-
-def _close(stack: list[Node], tag: str) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            del stack[i:]
-            return
-        if stack[i].tag in ARTICLE and tag not in ("body", "html", "article", "main"):
-            return  # what is closed here was not opened inside the article
-
-
-def _close_paragraph(stack: list[Node]) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == "p":
-            del stack[i:]
-            return
-        if stack[i].tag in BLOCKS:
-            return
-
-
-def _close_sibling(stack: list[Node], tag: str) -> None:
-    rows = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
-    same = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, (tag,))
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in same:
-            del stack[i:]
-            return
-        if stack[i].tag in rows.get(tag, ()) or stack[i].tag in ARTICLE:
-            return
+    return Node(tag, style, noise and tag not in ("html", "body", "main"))
 
 
 def text_blocks(node: Node, dropped: frozenset = frozenset()) -> list[str]:
@@ -227,7 +272,7 @@ def _hash(text: str) -> int:
 
 
 def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in chain.from_iterable(byte_slices(b, "html") for b in batches):
         rows: list[tuple] = []
         for host, html, fp in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "fp")), strict=True):
             rows.extend((host, b.place, b.shown, b.content, fp) for b in branches(parse(html or "")))
@@ -256,7 +301,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in chain.from_iterable(byte_slices(b, "html") for b in batches):
         texts = []
         for html, low in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist(), strict=True):
             root, gone = parse(html or ""), frozenset(low or ())
@@ -267,6 +312,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = "\n".join(chain.from_iterable(text_blocks(part, dropped) for part in parts))
             if dropped and not text:
                 text = "\n".join(chain.from_iterable(text_blocks(part) for part in parts))
+            if not text:  # names leave nothing: articles, whatever they or what is around them are called
+                text = "\n".join(chain.from_iterable(_own_blocks(part) for part in _articles(root, named=True)))
             texts.append(text)
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
@@ -275,23 +322,30 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _holders(parts: list[Node]) -> frozenset:
     """The nodes (by identity) that hold all of the text of the parts."""
+    order: list[Node] = list(parts)
+    for node in order:  # grows while it is read: parents before children
+        order.extend(c for c in node.children if not isinstance(c, str) and c.tag not in HIDDEN and not c.noise)
+    full: set[int] = set()
+    for node in reversed(order):
+        if any(unescape(c).strip() if isinstance(c, str) else id(c) in full for c in node.children):
+            full.add(id(node))
     holders: list[int] = []
     level: list = list(parts)
     while True:
-        full = [c for c in level if (c.strip() if isinstance(c, str) else text_blocks(c))]
-        if len(full) != 1 or isinstance(full[0], str):
+        held = [c for c in level if (unescape(c).strip() if isinstance(c, str) else id(c) in full)]
+        if len(held) != 1 or isinstance(held[0], str):
             return frozenset(holders)
-        holders.append(id(full[0]))
-        level = full[0].children
+        holders.append(id(held[0]))
+        level = held[0].children
 
 
-def _articles(root: Node) -> list[Node]:
-    """The outermost article or main elements that are not inside furniture."""
+def _articles(root: Node, named: bool = False) -> list[Node]:
+    """The outermost article or main elements that are not inside furniture; ``named``: also those that are."""
     found: list[Node] = []
     todo = [root]
     while todo:
         at = todo.pop()
-        if at.noise or at.tag in HIDDEN:
+        if at.tag in HIDDEN or at.noise and not named:
             continue
         if at.tag in ARTICLE:
             found.append(at)
@@ -300,6 +354,13 @@ def _articles(root: Node) -> list[Node]:
     return found
 
 
+def _own_blocks(article: Node) -> list[str]:
+    """Blocks of an article whose own name is that of furniture."""
+    inner = Node(article.tag, article.style, False)
+    inner.children = article.children
+    return text_blocks(inner)
+
+
 def main_text(pages: DataFrame, least_importance: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES) -> DataFrame:
     """page_id, url, text of every page."""
     rows = pages.select("page_id", "url", "html", F.xxhash64("html").alias("fp")).withColumn("host", url_host(F.col("url")))
@@ -307,5 +368,14 @@ def main_text(pages: DataFrame, least_importance: float = LEAST_IMPORTANCE, leas
     low = tree.where((F.col("importance") < least_importance) & (F.col("pages") >= least_pages)).select("host", "node")
     # the low nodes of a host: bounded by the styles of its templates
     low = low.groupBy("host").agg(F.collect_set("node").alias("low"))
-    joined = rows.join(low, "host", "left").select("page_id", "url", "html", "low")
+    # pages of a hot host go to several tasks, each with the host's low nodes
+    per_host = written(rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "hosts")
+    total = per_host.agg(F.sum("n")).first()[0] or 0
+    part = total // HOT_HOSTS + 1
+    hot = per_host.where(F.col("n") > part).select("host", F.ceil(F.col("n") / part).alias("parts"))
+    spread = F.broadcast(hot)  # fewer than HOT_HOSTS rows
+    one = F.coalesce("parts", F.lit(1))
+    rows = rows.join(spread, "host", "left").withColumn("part", F.pmod(F.xxhash64("fp", "page_id"), one))
+    low = low.join(spread, "host", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), one - 1))).drop("parts")
+    joined = rows.join(low, ["host", "part"], "left").select("page_id", "url", "html", "low")
     return joined.mapInArrow(_extract, pages.select("page_id", "url").withColumn("text", F.lit("")).schema)

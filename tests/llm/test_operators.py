@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 from html import unescape
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -541,6 +543,50 @@ def test_html_text_counts_distinct_pages(spark):
     assert Counter((r["page_id"], r["text"]) for r in got) == Counter(expected)
 
 
+def text_of(html):
+    out = html_text._extract(iter([pa.RecordBatch.from_pydict({"page_id": [1], "url": ["u"], "html": [html], "low": [None]}, schema=pa.schema(
+        [("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string()), ("low", pa.list_(pa.int64()))]))]))
+    return next(out).column("text")[0].as_py()
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<p title=it's ok>Hello</p><p title='a>b' x=\"c>d\">you</p>", "Hello\nyou"),
+    ("<form id=aspnet><div><article><p>In a form</p></article></div><input></form>", "In a form"),
+    ("<div>x</div><form>Name<input></form>", "x"),
+    ("<body><article class='post share'><p>Named</p><nav>menu</nav></article></body>", "Named"),
+    ("<main class=search-page><p>Main</p></main>", "Main"),
+    ("<p>one</p><a href=\"open>two</a><p>three</p>", "one\ntwo\nthree"),
+    ("a<!-- x > y -->b<!--> c<!doctype html><?php x ?>d</ e", "ab cd</ e"),
+    ("<textarea>no</textarea><title>no</title >yes<script>'</scripty>'</script\n>!", "yes!"),
+    ("<table><tr><td>1<td>2<tr><td>3</table><ul><li>a<ul><li>b</ul><li>c</ul><dl><dt>t<dd>u</dl>", "1\n2\n3\na\nb\nc\nt\nu"),
+    ("<div><article><p>in</div></span>side</article>out</div>", "inside"),
+])
+def test_html_markup(html, text):
+    assert text_of(html) == text
+
+
+@pytest.mark.parametrize("html", [
+    "<a " * 100_000, "<a x='" * 50_000, "<a x=\">'" * 50_000, "<div>" * 50_000 + "</b>" * 50_000, "<b>" * 50_000 + "<hr>" * 50_000 + "end",
+    "<div><article>" + "<b>" * 50_000 + "</div>" * 50_000, "<script>" + "</script " * 50_000, "<ul>" + "<b>" * 50_000 + "<li>" * 50_000,
+    "<p>" + "a &amp; b " * 200_000, "<!--" * 100_000, "<a b" + " " * 200_000 + "c" * 200_000 + ">x", "<form>" * 30_000 + "<main>" * 30_000,
+])
+def test_html_of_any_shape_is_read_in_proportional_time(html):
+    begun = time.perf_counter()
+    root = html_text.parse(html)
+    html_text.branches(root), html_text._holders([root]), text_of(html)
+    assert time.perf_counter() - begun < 6
+
+
+def test_html_text_of_a_hot_host_in_parts(spark, monkeypatch):
+    page = "<body><div class='top'>Same on all pages</div><div><p>Text {0}</p></div></body>"
+    data = [(i, f"http://{'hot' if i < 80 else f'h{i % 2}'}/{i}", page.format(i), 1) for i in range(100)]
+    df = spark.createDataFrame(data, "page_id long, url string, html string, part int")
+    for hosts in (4, 1024):
+        monkeypatch.setattr(html_text, "HOT_HOSTS", hosts)
+        got = html_text.main_text(df).collect()
+        assert sorted((r["page_id"], r["text"]) for r in got) == [(i, f"Text {i}") for i in range(100)]
+
+
 def test_html_text_drops_repeated_blocks_inside_main(spark):
     page = (
         "<body><main><div class='box'>same on all pages</div><article><h2>About</h2><p>Text <b>bold</b><br>of {0}</p>"
