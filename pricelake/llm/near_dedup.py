@@ -368,12 +368,24 @@ def rest(docs: DataFrame, classes: DataFrame, planted: DataFrame, found: DataFra
     return found.unionByName(written(confirm(likely(met, classes, threshold), sets, threshold), "links"))
 
 
+def _shared_at_least(na: str, nb: str, threshold: int):
+    """Shingles that two sets of these sizes share at least, if they are similar enough."""
+    return F.ceil(threshold * (F.col(na) + F.col(nb)) / (100 + threshold))
+
+
+def _may_meet(na: str, nb: str, after_a: str, after_b: str, threshold: int):
+    """Whether a shingle can be the first that two sets share: it and those that come after it must be enough."""
+    return F.least(after_a, after_b) + 1 >= _shared_at_least(na, nb, threshold)
+
+
 def rare_pairs(nodes: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Pairs a < b of different components that can be similar enough: exact, by a prefix filter.
+    """Pairs a < b of different components that can be similar enough: exact, by a prefix filter with places.
 
     Of a set of n shingles at least ``threshold`` per cent must be shared, so with all sets in one order of
     shingles, the rarest first, two similar sets meet in the first n less that many plus one. Shingles of one
-    set alone fill these places and need no partner. Only different components that hold a shingle meet at it.
+    set alone fill these places and need no partner. At the first shingle that two sets share, either has only those
+    behind it left, so sets whose own shingles come first meet few others, however many hold the shingle. Components
+    meet before their members, by the least and most that these have.
     """
     own = sets.join(nodes, "node").select("node", "component", F.size("shingles").alias("n"), F.xxhash64("shingles").alias("set"), "shingles")
     each = own.select("node", "component", "n", "set", F.explode("shingles").alias("shingle"))
@@ -384,19 +396,27 @@ def rare_pairs(nodes: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) ->
     )
     # shingles that no other set has come first and take places
     room = (places - (F.col("n") - F.size("shared"))).cast("int")
+    at = F.posexplode(F.slice("shared", F.lit(1), room)).alias("place", "at")
+    placed = ranked.where(room > 0).select("node", "component", "n", F.size("shared").alias("held"), at)
     first = written(
-        ranked.where(room > 0).select("node", "component", "n", F.explode(F.slice("shared", F.lit(1), room)).alias("at")).select(
-            F.col("at.shingle").alias("shingle"), "node", "component", "n"
-        ),
-        "prefixes",
+        placed.select(F.col("at.shingle").alias("shingle"), "node", "component", "n", (F.col("held") - F.col("place") - 1).alias("after")), "prefixes"
     )
-    here = first.select("shingle", "component").distinct()
-    several = here.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most")
+    here = first.groupBy("shingle", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("after").alias("after"))
+    several = here.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     here = written(here.join(several.select("shingle"), "shingle", "left_semi"), "held")
-    both = here.withColumnRenamed("component", "ca").join(here.withColumnRenamed("component", "cb"), "shingle").where("ca < cb")
-    a = first.select("shingle", F.col("component").alias("ca"), F.col("node").alias("x"), F.col("n").alias("na"))
-    b = first.select("shingle", F.col("component").alias("cb"), F.col("node").alias("y"), F.col("n").alias("nb"))
-    met = both.join(a, ["shingle", "ca"]).join(b, ["shingle", "cb"]).where(_sizes_fit(threshold))
+    ca, cb = (here.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("component", "least", "most", "after"))) for x in "ab")
+    both = ca.join(cb, "shingle").where(
+        (F.col("component_a") < F.col("component_b"))
+        & (100 * F.col("most_a") >= threshold * F.col("least_b")) & (100 * F.col("most_b") >= threshold * F.col("least_a"))
+        & _may_meet("least_a", "least_b", "after_a", "after_b", threshold)
+    ).select("shingle", "component_a", "component_b", "least_b", "most_b", "after_b")
+    a = first.select("shingle", F.col("component").alias("component_a"), F.col("node").alias("x"), F.col("n").alias("na"), F.col("after").alias("after_x"))
+    b = first.select("shingle", F.col("component").alias("component_b"), F.col("node").alias("y"), F.col("n").alias("nb"), F.col("after").alias("after_y"))
+    met = both.join(a, ["shingle", "component_a"]).where(
+        (100 * F.col("most_b") >= threshold * F.col("na")) & (100 * F.col("na") >= threshold * F.col("least_b"))
+        & _may_meet("na", "least_b", "after_x", "after_b", threshold)
+    )
+    met = met.join(b, ["shingle", "component_b"]).where(_sizes_fit(threshold) & _may_meet("na", "nb", "after_x", "after_y", threshold))
     return met.select(*_pairs("x", "y")).distinct()
 
 

@@ -328,6 +328,19 @@ def test_rare_pairs_hold_all_alike_pairs(spark):
     assert got == {(i, j) for i, j in alike if i % 50 != j % 50} and got
 
 
+def test_rare_pairs_of_unlike_variants_are_few(spark):
+    """Variants of one template that are no pairs do not meet each other, however many hold its shingles."""
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" for i in range(404)]
+    texts = [" ".join(edited(words, rng, 9, f"v{k}")) for k in range(150)]  # 45 of 400 shingles their own
+    texts.append(texts[0].replace("w0 ", "one "))
+    sets = near_dedup.shingle_sets(texts)
+    table = spark.createDataFrame([(i, s.view(np.int64).tolist()) for i, s in enumerate(sets)], "node long, shingles array<long>")
+    nodes = spark.createDataFrame([(i, i) for i in range(len(sets))], "node long, component long")
+    got = {(r["a"], r["b"]) for r in near_dedup.rare_pairs(nodes, table).collect()}
+    assert (0, 150) in got and len(got) < 150
+
+
 def test_near_dedup_threshold_holds_for_sizes_and_counts(spark):
     assert near_dedup._least_in_label(85) == 13 and near_dedup._least_in_signature(85) == 88
     words = [f"w{i}" for i in range(404)]
