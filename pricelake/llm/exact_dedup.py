@@ -3,7 +3,7 @@
 Texts are equal when identical after lower-casing A-Z. Each text gets a 64-bit key; the leading
 bits of the key are its slot in a directory, which starts with one bucket and doubles its depth while
 a bucket holds more keys than ``capacity``: only overfull buckets split, the others keep their
-local depth. The slots send the texts to owner tasks, each with the key ranges of some slots; an owner compares
+local depth. The slots send the texts to owner tasks, each with some key ranges inside the slots; an owner compares
 texts of one slot and key by their bytes, and texts that share a key form a chain below it. What is found for a
 text is written to the index, and documents read it there.
 
@@ -32,6 +32,8 @@ CAPACITY = 4096
 HOT_KEYS = 1 << 16
 #: Bits of the keys that are counted at once while the directory grows.
 _STEP = 16
+#: Bits by which a slot falls into parts: so many more than there are tasks that they spread evenly.
+_PART_BITS = 4
 
 
 @dataclass(frozen=True)
@@ -90,18 +92,20 @@ def build_directory(keys: DataFrame, capacity: int = CAPACITY) -> tuple[DataFram
 
 
 def owner_groups(rows: DataFrame, keys: DataFrame, depth: int) -> DataFrame:
-    """One row for each distinct text: slot, hash_key, norm, keep_id, group_size; grouped where its slot's owner is.
+    """One row for each distinct text: slot, hash_key, norm, keep_id, group_size; grouped where the owner of its part of a slot is.
 
     ``rows`` are doc_id, hash_key, norm; ``keys`` are hash_key, n (its rows). Nothing is shuffled after the owners grouped.
+    Slots are about as many as tasks, so whole ones would leave several to one task and none to others; owners take parts of them.
     """
     total = keys.agg(F.sum("n")).first()[0] or 0
     hot = F.broadcast(keys.where((F.col("n") > 1) & (F.col("n") > total // HOT_KEYS)).select("hash_key"))  # at most HOT_KEYS keys
     found = [F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")]
     combined = rows.join(hot, "hash_key", "left_semi").groupBy("hash_key", "norm").agg(*found)
     others = rows.join(hot, "hash_key", "left_anti").select("hash_key", "norm", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
-    sent = combined.unionByName(others).withColumn("slot", leading_bits(F.col("hash_key"), depth))
-    owned = sent.repartition(range_partitions(rows.sparkSession), "slot")
-    return owned.groupBy("slot", "hash_key", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    sent = combined.unionByName(others).withColumn("slot_part", leading_bits(F.col("hash_key"), min(64, depth + _PART_BITS)))
+    owned = sent.repartition(2 * range_partitions(rows.sparkSession), "slot_part")
+    groups = owned.groupBy("slot_part", "hash_key", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    return groups.select(leading_bits(F.col("hash_key"), depth).alias("slot"), "hash_key", "norm", "keep_id", "group_size")
 
 
 def build_index(docs: DataFrame, capacity: int = CAPACITY) -> ExactIndex:

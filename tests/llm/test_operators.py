@@ -131,6 +131,17 @@ def test_texts_are_grouped_where_their_slot_is_owned(spark, monkeypatch):
     assert above.count("Exchange") == 1 and "hashpartitioning(slot" in plan and "REPARTITION_BY_NUM" in plan
 
 
+def test_owners_share_the_texts_evenly(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "51")
+    try:
+        rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("norm")).withColumn("hash_key", F.xxhash64("norm"))
+        got = exact_dedup.owner_groups(rows, rows.select("hash_key", F.lit(1).alias("n")), 6)
+        held = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(held) == 20_000 and max(held) < 600  # 5 of 64 slots are 1560
+
+
 def test_kept_ids_come_from_the_index(docs):
     plan = exact_dedup.exact_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.split("\n") if "Scan parquet" in line]
