@@ -52,6 +52,10 @@ class PieceEncoder:
             self.plain.normalizer = self.tokenizer.normalizer
         mark = self.tokenizer.encode("\x02", add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 and mark[0] not in self.tokenizer.encode("a", add_special_tokens=False).ids else None
+        # ids of tokens that begin with a space, as byte-level vocabularies write it
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for t, i in vocabulary.items() if t[:1] == "\u0120"]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -61,9 +65,32 @@ class PieceEncoder:
         self.begin = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int32)
 
-    def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces and how many each has; pieces go in as the words of few inputs, with a mark behind each."""
-        words = list(map(_piece, pieces.to_pylist()))
+    def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces, those behind a space first; where each piece's begin, and how many it has."""
+        marked = pieces.to_pylist()
+        spaced = np.fromiter((p[:1] > "\x02" for p in marked), bool, len(marked))
+        sizes = np.zeros(len(marked), np.int64)
+        ids, sizes[spaced] = self._encode_spaced([p for p, s in zip(marked, spaced, strict=True) if s])
+        others, sizes[~spaced] = self._encode_marked([_piece(p) for p, s in zip(marked, spaced, strict=True) if not s])
+        begin = np.zeros(len(marked), np.int64)
+        order = np.concatenate([np.flatnonzero(spaced), np.flatnonzero(~spaced)])
+        begin[order] = np.cumsum(sizes[order]) - sizes[order]
+        return np.concatenate([ids, others]), begin, sizes
+
+    def _encode_spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words behind a space each: they are cut there anyway, and their first ids tell it."""
+        texts = [" " + " ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
+        found = self.plain.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in found)])
+        begin = np.flatnonzero(self.spaced[ids])
+        if len(begin) != len(words) or len(begin) and begin[0]:
+            return self._encode_marked([" " + w for w in words])
+        return ids, np.diff(begin, append=len(ids))
+
+    def _encode_marked(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of any pieces, which go in as the words of few inputs, with a mark behind each."""
+        if not words:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if self.mark is None or any("\x02" in w for w in words):
             found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
@@ -79,14 +106,16 @@ class PieceEncoder:
     def _learn(self, pieces: pa.Array) -> None:
         """Encode new pieces and keep their ids."""
         parts = [self._encode(pieces[i : i + _AT_ONCE]) for i in range(0, len(pieces), _AT_ONCE)]
-        flat, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+        before = np.cumsum([0, *(len(p[0]) for p in parts)])
+        flat, sizes = np.concatenate([p[0] for p in parts]), np.concatenate([p[2] for p in parts])
+        begin = np.concatenate([p[1] + b for p, b in zip(parts, before[:-1], strict=True)])
         n, used = len(self.known), self.used
         while n + len(pieces) > len(self.begin):
             self.begin, self.size = np.concatenate([self.begin, self.begin]), np.concatenate([self.size, self.size])
         while used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, self.ids])
         self.ids[used : used + len(flat)] = flat
-        self.begin[n : n + len(pieces)] = used + np.cumsum(sizes) - sizes
+        self.begin[n : n + len(pieces)] = used + begin
         self.size[n : n + len(pieces)] = sizes
         self.used += len(flat)
         self.known = pa.concat_arrays([self.known, pieces])

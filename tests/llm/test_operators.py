@@ -29,7 +29,7 @@ from pricelake.llm import (
 )
 from pricelake.llm.common import shared_folder
 from pricelake.llm.components import components
-from pricelake.llm.tokens import encode_batch, tokenizer_path
+from pricelake.llm.tokens import PieceEncoder, encode_batch, tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -388,6 +388,18 @@ def test_piecewise_ids_equal_whole_texts(whole, rows):
     assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == whole(texts)
 
 
+def test_words_behind_a_space_are_encoded_without_marks(monkeypatch):
+    words = [f"w{i} é{i}" if i % 9 else f"\x03{i}<|endoftext|>" for i in range(3000)]
+    encoder, marked = PieceEncoder(tokenizer_path()), []
+    kept = encoder._encode_marked
+    monkeypatch.setattr(encoder, "_encode_marked", lambda found: marked.extend(found) or kept(found))
+    texts = [" ".join(words), "one\ntwo " + words[0]]
+    ids, sizes = encoder.encode(texts)
+    expected = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == sum(expected, []) and sizes.tolist() == [len(x) for x in expected]
+    assert len(marked) < 10
+
+
 def test_packing(docs, rows, whole):
     got: dict = {}
     pieces = packing.pack(docs).collect()
