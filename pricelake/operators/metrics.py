@@ -24,6 +24,10 @@ from pricelake.schemas import FACT_KEY, ROLLING_DAYS, VOLATILITY_ROWS
 SLACK_DAYS = 7
 
 
+# Rows of series that one task sorts: the rows and bridges of some frames are held at once.
+TASK_ROWS = 250_000
+
+
 def rolling_column(days: int) -> str:
     return f"rolling_return_{days}d"
 
@@ -32,6 +36,16 @@ _AT = "_at"
 _NEIGHBOURS = ["_prev_close", "_prev_date", "_first_close"]
 
 
+def spread(series: DataFrame, by: list[str], task_rows: int = TASK_ROWS) -> DataFrame:
+    """Whole series dealt to tasks of about ``task_rows`` rows each.
+
+    Adaptive execution merges partitions until they hold many megabytes of narrow rows, and the frames
+    hold several times that; so the number of tasks follows the number of rows. Few rows are left as they are.
+    """
+    tasks = -(-series.count() // task_rows)
+    return series.repartition(tasks, *by) if tasks > 1 else series
+
+
 def _with_neighbours(series: DataFrame, by: list[str]) -> DataFrame:
     """Previous close and date and the first close, all from one pass over the window."""
     order = series_window(by)
@@ -57,7 +71,7 @@ def rolling_returns(
     can only lie before the first row, whose close is then the base. Exact for any gaps;
     needs a non-null close.
     """
-    rows = _with_neighbours(series, by)
+    rows = _with_neighbours(spread(series, by), by)
     return _rolling(rows, by, windows, slack_days).drop(_AT, *_NEIGHBOURS)
 
 
@@ -190,7 +204,7 @@ def add_metrics(
     the order they leave behind. A series that does not begin with the asset's first row names a column with the
     first close, and gives the benchmark's.
     """
-    out = _rolling(_with_neighbours(series, by), by, windows or ROLLING_DAYS, slack_days)
+    out = _rolling(_with_neighbours(spread(series, by), by), by, windows or ROLLING_DAYS, slack_days)
     out = _volatility(_daily(out), series_window(by, _AT), vol_rows)
     if first_close is not None:
         out = out.withColumn("_first_close", F.col(first_close))

@@ -17,7 +17,7 @@ from pricelake.operators.asof import asof_backward, asof_forward, last_value_at_
 from pricelake.operators.correlation import correlation_long
 from pricelake.operators.dex import human_amount, swap_price, top_pairs
 from pricelake.operators.dimensions import dim_date
-from pricelake.operators.metrics import add_metrics, rolling_returns
+from pricelake.operators.metrics import add_metrics, rolling_returns, spread
 from pricelake.operators.numbering import number_rows
 from pricelake.operators.quality import (
     QualityGateError,
@@ -69,6 +69,16 @@ def brute_rolling(rows, n):
     return out
 
 
+def test_series_are_dealt_by_their_number_of_rows(spark):
+    rows = spark.range(3000).selectExpr("concat('s', id % 300) AS symbol", "date_add(DATE '2024-01-01', cast(id div 300 AS int)) AS date", "1.0D + id AS close")
+    dealt = spread(rows, ["symbol"], task_rows=100)
+    tasks = dealt.select("symbol", F.spark_partition_id().alias("task")).distinct().groupBy("symbol").count()
+    assert dealt.rdd.getNumPartitions() == 30 and tasks.where("count > 1").isEmpty()
+    assert spread(rows, ["symbol"]) is rows
+    plan = rolling_returns(dealt, by=["symbol"], windows=[7])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+
+
 def test_rolling_returns_against_brute_force(spark, gappy):
     windows = [7, 30, 31, 90, 365]
     got = rolling_returns(series(spark, gappy), by=["symbol"], windows=windows).collect()
