@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.llm import exact_dedup, near_dedup, packing, quality_rules, source_mix
-from pricelake.llm.common import written
+from pricelake.llm.common import drop_folders, folders_made, written
 from pricelake.session import configure
 
 
@@ -54,9 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
+    """All stages over the documents of a folder; tables of a stage go when the next one has its own."""
     configure(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with folders_made() as made:
+            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop_folders(spark, [*before, *made[:-1]])
+        before = made[-1:]
     return docs

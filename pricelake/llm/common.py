@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -16,6 +18,8 @@ SPACES = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Lists that note the folders made now, the innermost last.
+_NOTED: ContextVar[tuple[list[str], ...]] = ContextVar("noted", default=())
 
 
 def whole_text(text: Column | str = "text") -> Column:
@@ -71,6 +75,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     folder = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+    for noted in _NOTED.get():
+        noted.append(folder)
     return folder
 
 
@@ -82,6 +88,35 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def folders_made() -> Iterator[list[str]]:
+    """The shared folders that are made inside, in order."""
+    noted: list[str] = []
+    token = _NOTED.set((*_NOTED.get(), noted))
+    try:
+        yield noted
+    finally:
+        _NOTED.reset(token)
+
+
+def drop_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Delete tables of the shared folder that nothing reads any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def distilled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The rows that ``make`` gives as a table in the shared folder; the tables written to make them go.
+
+    For small results of large intermediate tables, which would otherwise take disk until the driver ends.
+    """
+    with folders_made() as made:
+        result = written(make(), name)
+    drop_folders(spark, made[:-1])
+    return result
+
+
 def range_partitions(spark: SparkSession, at_least: int = 1) -> int:
     """How many key ranges to deal rows into: the session's shuffle partitions."""
     return max(at_least, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import ascii_lower, carried, range_partitions, shared_folder, whole_text, written
+from pricelake.llm.common import ascii_lower, carried, distilled, range_partitions, shared_folder, whole_text, written
 
 #: Keys that one bucket may hold before it splits.
 CAPACITY = 4096
@@ -140,12 +140,11 @@ def drop_duplicates(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     A document is told from others by ``doc_id`` and text, so the join takes both.
     """
-    gone = (
-        exact_duplicates(docs, capacity)
-        .where(~F.col("kept"))
-        .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-        .distinct()
-    )
+    def copies() -> DataFrame:
+        found = exact_duplicates(docs, capacity).where(~F.col("kept"))
+        return found.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+
+    gone = distilled(docs.sparkSession, copies, "copies")
     digest = F.sha2(ascii_lower(whole_text()), 256)
     keyed = carried(docs, "doc_id", "text").withColumn("_of", digest)
     same = (F.col("_of") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id"))

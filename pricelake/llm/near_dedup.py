@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import range_partitions, written
+from pricelake.llm.common import distilled, range_partitions, written
 from pricelake.llm.components import components
 
 SHINGLE = 5
@@ -444,5 +444,5 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """One document of each group, with its own columns."""
-    gone = near_duplicates(docs, threshold).where("NOT kept").select("doc_id").distinct()
+    gone = distilled(docs.sparkSession, lambda: near_duplicates(docs, threshold).where("NOT kept").select("doc_id").distinct(), "near-copies")
     return docs.join(gone, "doc_id", "left_anti")

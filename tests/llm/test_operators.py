@@ -9,6 +9,7 @@ import time
 import zlib
 from collections import Counter
 from html import unescape
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -439,6 +440,27 @@ def test_token_files(spark, docs, rows, whole):
     assert [(r["doc_id"], bytes(r["ids"])) for r in one] == [(12, ids[12][0])]
 
 
+# -- tables in the shared folder ------------------------------------------------------------
+
+
+def test_stages_leave_small_tables_only(spark, docs, rows):
+    more = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1000))
+    base = Path(shared_folder(spark, "x").removeprefix("file:")).parent
+    stages = {
+        "verdicts": lambda: quality_rules.keep_good(more),
+        "copies": lambda: exact_dedup.drop_duplicates(more),
+        "near-copies": lambda: near_dedup.drop_near_duplicates(more),
+    }
+    for name, stage in stages.items():
+        before = set(base.iterdir()) if base.exists() else set()
+        out = stage()
+        left = set(base.iterdir()) - before
+        assert [f.name.rpartition("-")[0] for f in left] == [name]
+        columns = spark.read.parquet(str(*left)).columns
+        assert not {"text", "_row", "norm", "signature"} & set(columns)
+        assert out.columns == docs.columns and out.count() > 0  # still to be read
+
+
 # -- personal data --------------------------------------------------------------------------
 
 
