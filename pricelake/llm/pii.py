@@ -8,10 +8,12 @@ They learn from labelling rules: a candidate that is a base span, or that follow
 rows that the trees have not seen; candidates above it that touch no base span are added, the best
 one of each run of overlapping candidates.
 
-The trees are fitted on at most ``FIT_ROWS`` candidates, those with the smallest hashes; everything
-else runs over all rows. Only DataFrame functions and Spark ML are used. Matches get their places from
-the lengths of what lies between them; patterns are written without backtracking, so that long runs of
-digits or letters cost linear time.
+The trees and the thresholds come from all candidates: a feature is read as the number of its ``CUTS``
+that it reaches, candidates alike in all of them are counted, and the trees are fitted on these counts
+as weights. They read each cut as a yes or no, so Spark ML looks for no split points of its own in a
+sample. Only DataFrame functions and Spark ML are used. Matches get their places from the lengths of
+what lies between them; patterns are written without backtracking, so that long runs of digits or
+letters cost linear time.
 
 Defined cases: a null text counts as empty and has no spans; repeated rows are judged alike; a corpus
 without positive or without negative candidates gets base spans only; an empty table gives no rows;
@@ -21,15 +23,13 @@ further columns are ignored.
 from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pricelake.llm.common import whole_text, written
 
-FIT_ROWS = 20_000
 #: Share of positives that candidates above a threshold must have on unseen rows.
 PRECISION = 0.98
 
@@ -53,6 +53,15 @@ FEATURES = (
     "length", "digits", "lower", "upper", "others", "digit_share", "distinct", "digit_runs", "hex", "dots",
     "dashes", "after_equals", "after_quote", "after_plus", "after_colon", "named_secret", "named_contact", "named_payment", "before_quote",
 )
+_FEW = (1, 2, 3, 4, 5, 6, 8, 12, 16, 24, 32, 64)
+_CUTS = {
+    "length": (*range(7, 22), 24, 28, 32, 36, 40, 48, 64, 128),
+    "digits": (*range(1, 21), 24, 32, 40, 64),
+    "digit_share": tuple(i / 10 for i in range(1, 11)),
+    **dict.fromkeys(("lower", "upper", "others", "distinct", "digit_runs", "dots", "dashes"), _FEW),
+}
+#: What the trees may ask of each feature: whether it reaches a cut. The others are 0 or 1.
+CUTS = {f: _CUTS.get(f, (1,)) for f in FEATURES}
 
 
 def matches(text: Column, needs: Column, pattern: str) -> Column:
@@ -200,46 +209,71 @@ def labelled(rows: DataFrame) -> DataFrame:
     return rows.withColumn("label", sure.cast("double"))
 
 
-def fit(candidates: DataFrame, fit_rows: int = FIT_ROWS, precision: float = PRECISION):
+def levels(rows: DataFrame) -> DataFrame:
+    """Candidate rows with each feature as the number of its cuts that it reaches."""
+
+    def level(f: str) -> Column:
+        cuts = F.array(*(F.lit(float(c)) for c in CUTS[f]))
+        # one array element: inside a lambda alone the feature would be computed again for each cut
+        return F.transform(F.array(f), lambda x: F.size(F.filter(cuts, lambda c: c <= x)))[0]
+
+    return features(rows).withColumns({f: level(f) for f in FEATURES})
+
+
+def counted(candidates: DataFrame) -> DataFrame:
+    """kind, the levels, label, unseen (a quarter, by hash) and n: how many of all candidates are so."""
+    order = F.xxhash64("text", "before", "kind", "doc_id", "start")
+    rows = levels(labelled(candidates.select("kind", "text", "before", (order % 4 == 0).alias("unseen"))))
+    alike = ["kind", *FEATURES, "label", "unseen"]
+    return rows.groupBy(*alike).agg(F.count(F.lit(1)).cast("double").alias("n")).sortWithinPartitions(*alike)
+
+
+def fit(candidates: DataFrame, precision: float = PRECISION):
     """Trees and a threshold for each generator, or None where the rows have one label only.
 
-    The rows are those with the smallest hashes, in one task of at most ``fit_rows`` rows, so
-    the model does not depend on how rows are dealt; a quarter of them calibrates.
+    All candidates count, three quarters for the trees and a quarter for the thresholds.
     """
-    order = F.xxhash64("text", "before", "kind", "doc_id", "start")
-    sample = candidates.select("kind", "text", "before", order.alias("order")).orderBy("order", "text", "before").limit(fit_rows)
-    ready = labelled(features(sample)).withColumn("unseen", F.col("order") % 4 == 0)
-    ready = written(ready.select("kind", *FEATURES, "label", "unseen", "order").coalesce(1), "pii-fit")
+    ready = written(counted(candidates), "pii-fit")
     seen = ready.where("NOT unseen")
     if seen.select("label").distinct().count() < 2:
         return None
-    to_vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    trees = GBTClassifier(maxIter=8, maxDepth=4, stepSize=0.4, seed=1, featuresCol="features", labelCol="label")
-    model = trees.fit(to_vector.transform(seen).select("features", "label"))
+    trees = GBTClassifier(maxIter=8, maxDepth=4, stepSize=0.4, seed=1, featuresCol="features", labelCol="label", weightCol="n")
+    model = trees.fit(seen.select(_vector(), "label", "n"))
     scored = score(ready, (model, None))
     # the lowest of 50 cuts above which the unseen rows are as pure as asked
     cut = F.explode(F.sequence(F.lit(0), F.floor(F.col("p") * 50).cast("int"))).alias("cut")
     pure = (
-        scored.where("unseen").select("kind", "label", cut).groupBy("kind", "cut")
-        .agg(F.avg("label").alias("share")).where(F.col("share") >= precision)
+        scored.where("unseen").select("kind", "label", "n", cut).groupBy("kind", "cut")
+        .agg((F.sum(F.col("label") * F.col("n")) / F.sum("n")).alias("share")).where(F.col("share") >= precision)
         .groupBy("kind").agg(F.min("cut").alias("cut")).collect()
     )
     return model, {r["kind"]: max(0.5, r["cut"] / 50) for r in pure}
 
 
+def _vector() -> Column:
+    """All cuts as 0 or 1, from the levels; marked as categories, whose splits need no search."""
+
+    def reached(f: str) -> Column:
+        n = len(CUTS[f])
+        return F.slice(F.array(*map(F.lit, [1.0] * n + [0.0] * n)), F.lit(n + 1) - F.col(f), F.lit(n))
+
+    n = sum(map(len, CUTS.values()))
+    attributes = {"ml_attr": {"attrs": {"binary": [{"idx": i} for i in range(n)]}, "num_attrs": n}}
+    return array_to_vector(F.concat(*map(reached, FEATURES))).alias("features", metadata=attributes)
+
+
 def score(rows: DataFrame, fitted) -> DataFrame:
-    """Add p, the probability of candidate rows that have their features."""
-    to_vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    out = fitted[0].transform(to_vector.transform(rows))
+    """Add p, the probability of candidate rows that have their levels."""
     kept = [c for c in rows.columns if c not in FEATURES]
-    return out.select(*kept, vector_to_array("probability")[1].alias("p"))
+    out = fitted[0].transform(rows.select(*kept, _vector()))
+    return out.select(*kept, F.round(vector_to_array("probability")[1], 9).alias("p"))
 
 
-def find(docs: DataFrame, fit_rows: int = FIT_ROWS, precision: float = PRECISION) -> DataFrame:
+def find(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     """doc_id, the base spans of each kind (start, end) and all spans: array of kind, start, end."""
     found = written(extract(docs), "pii")
     rows = found.select("doc_id", "fp", F.explode("candidates").alias("c")).select("doc_id", "fp", "c.*")
-    fitted = fit(rows, fit_rows, precision)
+    fitted = fit(rows, precision)
     def rank_of(kind: Column) -> Column:
         return F.coalesce(*(F.when(kind == k, i) for i, k in enumerate(KINDS)), F.lit(len(KINDS)))
 
@@ -252,7 +286,7 @@ def find(docs: DataFrame, fit_rows: int = FIT_ROWS, precision: float = PRECISION
     limit = F.lit(2.0)
     for kind, least in fitted[1].items():
         limit = F.when(F.col("kind") == kind, F.lit(least)).otherwise(limit)
-    chosen = score(features(rows), fitted).where(F.col("p") >= limit).select("doc_id", "fp", "kind", "start", "end", "p")
+    chosen = score(levels(rows), fitted).where(F.col("p") >= limit).select("doc_id", "fp", "kind", "start", "end", "p")
     known = base.select("doc_id", "fp", F.explode("base").alias("b")).select(
         "doc_id", "fp", "b.kind", "b.start", "b.end", F.lit(2.0).alias("p")
     )

@@ -502,6 +502,28 @@ def test_pii_adds_secrets_and_leaves_prose(spark):
     assert text == f"{PROSE} password=<secret> and mail <email>"
 
 
+def test_pii_learns_from_every_candidate(spark):
+    def texts(first, n, text):
+        rows = spark.range(first, first + n).withColumnRenamed("id", "doc_id")
+        return rows.select("doc_id", text.alias("text"))
+
+    i = F.col("doc_id")
+    phones = texts(0, 12_000, F.format_string("call +1 415 555 %04d now", i % 10_000))
+    plain = texts(20_000, 12_000, F.format_string("there were %08d boats", i))
+    keys = texts(50_000, 2000, F.concat(F.lit("password=7"), F.translate(F.md5(i.cast("string")), "0123456789", "ghijklmnop")))
+    found = pii.extract(keys).select("doc_id", F.explode("candidates").alias("c")).where("c.kind = 'secret'").select("doc_id", "c.*")
+    # secrets whose hashes are larger than those of 20,000 others
+    late = found.where(F.xxhash64("text", "before", "kind", "doc_id", "start") > 7 * 10**18).select("doc_id")
+    docs = phones.union(plain).union(keys.join(late, "doc_id")).persist()
+    got = pii.find(docs).where("doc_id >= 50000").select("doc_id", F.col("spans.kind").alias("kinds")).collect()
+    assert len(got) > 100 and all(r["kinds"] == ["secret"] for r in got)
+    rows = pii.extract(docs).select("doc_id", F.explode("candidates").alias("c")).select("doc_id", "c.*")
+    counts = pii.counted(rows)
+    assert counts.agg(F.sum("n")).first()[0] == rows.count() > 20_000 and counts.count() < 2000
+    model, _ = pii.fit(rows)
+    assert "<=" not in model.toDebugString  # splits are cuts, none is searched for
+
+
 # -- toxicity -------------------------------------------------------------------------------
 
 
